@@ -98,7 +98,7 @@ def json_field(text: Column | str, field: str) -> Column:
 
 def units(c: Column | str, places: int = 5) -> Column:
     """A measure as whole units of 10^-places, so that sums in frames are exact."""
-    return F.round(col(c) * F.lit(float(10**places)), 0).cast("long")
+    return F.rint(col(c) * F.lit(float(10**places))).cast("long")
 
 
 def uniform(key: Column | str, seed: int, draw: str) -> Column:

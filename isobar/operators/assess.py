@@ -154,25 +154,26 @@ def recent_recommendations(runs: DataFrame, rule_rows: DataFrame, last: int = 20
 
 
 def run_detail(runs: DataFrame, metrics: DataFrame, rule_rows: DataFrame) -> DataFrame:
-    """A run with its graded metrics and recommendations, as arrays.
+    """Every run with its graded metrics and its recommendations, one row each.
 
-    Metrics and rules of one run are a handful; they are gathered per run and
-    never multiplied with each other.
+    Two joins stacked: metrics and rules of a run are never multiplied with
+    each other, nor gathered into one row.
     """
-    graded = (
-        grade_metrics(metrics)
-        .groupBy("run_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("name", "value", "unit", "target", "grade"))
-            ).alias("metrics")
-        )
+    run = ["run_id", "scenario", "scenario_type", "seconds", "status"]
+    measured_rows = runs.select(*run).join(grade_metrics(metrics), "run_id").select(
+        *run,
+        F.lit("metric").alias("kind"),
+        F.col("name").alias("item"),
+        "value",
+        "target",
+        F.col("grade").alias("note"),
     )
-    advice = rule_rows.groupBy("scenario_type").agg(
-        F.sort_array(F.collect_list(F.struct("setting", "value", "reason"))).alias(
-            "recommendations"
-        )
-    )
-    return runs.join(graded, "run_id", "left").join(
-        F.broadcast(advice), "scenario_type", "left"
+    advice = runs.select(*run).join(F.broadcast(rule_rows), "scenario_type").select(
+        *run,
+        F.lit("recommendation").alias("kind"),
+        F.col("setting").alias("item"),
+        F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("double").alias("target"),
+        F.col("value").alias("note"),
     )
+    return measured_rows.unionByName(advice)

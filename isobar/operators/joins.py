@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.functions.columns import month_cos, month_sin, region_code
-from isobar.operators.skew import BROADCAST_ROWS, measured
+from isobar.operators.skew import BROADCAST_ROWS
 
 
 def partial_sums(
@@ -225,9 +225,12 @@ def match_region(df: DataFrame, regions: DataFrame, text: str = "region_text") -
     """Region code by name in any case, else by the code made from the text."""
     by_name = regions.groupBy(F.lower("name").alias("_name")).agg(F.min("code").alias("_by_name"))
     by_code = regions.groupBy(F.col("code").alias("_code")).agg(F.min("code").alias("_by_code"))
+    # Neither has more rows than the regions themselves.
+    if regions.count() <= BROADCAST_ROWS:
+        by_name, by_code = F.broadcast(by_name), F.broadcast(by_code)
     return (
-        df.join(measured(by_name), F.lower(text) == F.col("_name"), "left")
-        .join(measured(by_code), region_code(text) == F.col("_code"), "left")
+        df.join(by_name, F.lower(text) == F.col("_name"), "left")
+        .join(by_code, region_code(text) == F.col("_code"), "left")
         .withColumn("region_code", F.coalesce("_by_name", "_by_code"))
         .drop("_name", "_code", "_by_name", "_by_code")
     )

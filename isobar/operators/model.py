@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -62,9 +62,11 @@ def moments(data: DataFrame, names: Sequence[str] = FEATURES, label: str = LABEL
     return data.agg(*aggs)
 
 
-def fit(data: DataFrame, names: Sequence[str] = FEATURES, label: str = LABEL) -> LinearModel:
-    """Least squares with intercept; a singular system falls back to the mean."""
-    m = moments(data, names, label).first()
+def solve(m: Row, names: Sequence[str] = FEATURES, label: str = LABEL) -> LinearModel:
+    """Least squares with intercept from one row of moments.
+
+    A singular system falls back to the mean of the label.
+    """
     if not m["n"]:
         return LinearModel()
     k = len(names)
@@ -77,7 +79,12 @@ def fit(data: DataFrame, names: Sequence[str] = FEATURES, label: str = LABEL) ->
     if np.linalg.matrix_rank(cov, hermitian=True) < k:
         return LinearModel(m[f"mean_{label}"], [0.0] * k, list(names))
     beta = np.linalg.solve(cov, xy)
-    return LinearModel(float(m[f"mean_{label}"] - mean @ beta), [float(b) for b in beta], list(names))
+    intercept = float(m[f"mean_{label}"] - mean @ beta)
+    return LinearModel(intercept, [float(b) for b in beta], list(names))
+
+
+def fit(data: DataFrame, names: Sequence[str] = FEATURES, label: str = LABEL) -> LinearModel:
+    return solve(moments(data, names, label).first(), names, label)
 
 
 def coefficients(spark: SparkSession, model: LinearModel) -> DataFrame:
@@ -92,10 +99,12 @@ def predict(data: DataFrame, model: LinearModel) -> DataFrame:
     return data.withColumn("prediction", model.predict())
 
 
-def metrics(data: DataFrame, model: LinearModel, label: str = LABEL) -> DataFrame:
+def metrics(
+    data: DataFrame, model: LinearModel, label: str = LABEL, extra: Sequence[Column] = ()
+) -> DataFrame:
     """RMSE, MAE and R² in one pass; all 0 without rows or model, R² 0 for a constant label."""
     if model.intercept is None:
-        return data.agg(*[F.lit(0.0).alias(c) for c in ("rmse", "mae", "r2")])
+        return data.agg(*[F.lit(0.0).alias(c) for c in ("rmse", "mae", "r2")], *extra)
     err = F.col(label) - model.predict()
     total = F.var_pop(label)
     r2 = F.when(total > 0, 1 - F.avg(err * err) / total)
@@ -103,6 +112,7 @@ def metrics(data: DataFrame, model: LinearModel, label: str = LABEL) -> DataFram
         stable_round(F.coalesce(F.sqrt(F.avg(err * err)), F.lit(0.0)), 3).alias("rmse"),
         stable_round(F.coalesce(F.avg(F.abs(err)), F.lit(0.0)), 3).alias("mae"),
         stable_round(F.coalesce(r2, F.lit(0.0)), 3).alias("r2"),
+        *extra,
     )
 
 
@@ -134,12 +144,11 @@ def train_and_evaluate(
     """Fit on the newest `fraction` of the rows, measure on the older rest."""
     data = split_by_time(features(obs, ["observation_date", *tie]), fraction, tie)
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
-    sizes = data.agg(
-        F.count_if(F.col("split") == "train").alias("train_size"),
-        F.count_if(F.col("split") == "test").alias("test_size"),
-    )
-    enough = sizes.select((F.col("train_size") + F.col("test_size")) >= MIN_ROWS).first()[0]
-    model = fit(train) if enough else LinearModel()
+    m = moments(train).first()
+    # The test side is at most a fraction of the train side, so it is counted
+    # only when the train side alone does not settle the question.
+    enough = m["n"] >= MIN_ROWS or m["n"] + test.count() >= MIN_ROWS
+    model = solve(m) if enough else LinearModel()
     status = "trained" if enough else "no_data"
     pairs = (
         predict(test, model)
@@ -152,22 +161,25 @@ def train_and_evaluate(
             stable_round("prediction", 2).alias("predicted"),
         )
     )
-    # Two one-row summaries, folded into one row.
-    stacked = sizes.unionByName(metrics(test, model), allowMissingColumns=True)
-    names = ["train_size", "test_size", "rmse", "mae", "r2"]
-    summary = stacked.agg(F.lit(status).alias("status"), *[F.max(c).alias(c) for c in names])
+    summary = metrics(test, model, extra=[F.count("*").alias("test_size")]).select(
+        F.lit(status).alias("status"),
+        F.lit(m["n"]).cast("long").alias("train_size"),
+        "test_size",
+        "rmse",
+        "mae",
+        "r2",
+    )
     return Evaluation(status, model, summary, pairs)
 
 
 def monthly_predictions(obs: DataFrame) -> DataFrame:
     """Twelve predictions at mean humidity and rain, beside the months' actual means."""
     spark = obs.sparkSession
-    m = moments(features(obs)).select("n", "mean_humidity", "mean_precipitation").first()
+    m = moments(features(obs)).first()
     months = spark.range(1, 13).select(F.col("id").cast("int").alias("month"))
     if m["n"] < MIN_ROWS:
         months = months.where(F.lit(False))
-        m = {"mean_humidity": 0.0, "mean_precipitation": 0.0}
-    model = fit(features(obs))
+    model = solve(m)
     actual = (
         obs.where(F.col(LABEL).isNotNull()).groupBy("month").agg(F.avg(LABEL).alias("actual"))
     )
@@ -175,8 +187,8 @@ def monthly_predictions(obs: DataFrame) -> DataFrame:
         "month",
         month_sin("month").alias("month_sin"),
         month_cos("month").alias("month_cos"),
-        F.lit(m["mean_humidity"]).alias("humidity"),
-        F.lit(m["mean_precipitation"]).alias("precipitation"),
+        F.lit(m["mean_humidity"]).cast("double").alias("humidity"),
+        F.lit(m["mean_precipitation"]).cast("double").alias("precipitation"),
     )
     return (
         predict(rows, model)

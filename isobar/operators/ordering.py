@@ -51,16 +51,45 @@ def newest(
     return df.orderBy(*order).limit(k)
 
 
-def page(df: DataFrame, order: Sequence[Column], number: int = 1, size: int = 100) -> DataFrame:
-    """Page `number` (from 1) under a total order.
+def page(
+    df: DataFrame,
+    tie: Sequence[str],
+    number: int = 1,
+    size: int = 100,
+    date: str = "observation_date",
+    max_day_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Page `number` (from 1) of the rows, newest first, then by tie.
 
-    Near pages are a top-k; far ones use distributed row numbers.
+    Near pages are a top-k. For a far one, day counts tell which days the page
+    lies in; only those days are read and sorted, however far the page is.
     """
+    order = [F.col(date).desc_nulls_last(), *[F.col(c) for c in tie]]
     skip = (number - 1) * size
     if skip + size <= HEAP_ROWS:
         return df.orderBy(*order).offset(skip).limit(size)
-    rows = numbered(df, [], order, "_pos")
-    return rows.where(F.col("_pos").between(skip + 1, skip + size)).drop("_pos")
+    cover = _day_counts(df, date).where(
+        (F.col("_newer") < skip + size) & (F.col("_newer") + F.col("_n") > skip)
+    )
+    span = cover.agg(
+        F.min("_day").alias("first"),
+        F.max("_day").alias("last"),
+        F.count_if(F.col("_day").isNull()).alias("undated"),
+        F.min("_newer").alias("newer"),
+        F.sum("_n").alias("rows"),
+    ).first()
+    if span["newer"] is None:
+        return df.where(F.lit(False))
+    inside = F.lit(False)
+    if span["first"] is not None:
+        inside = F.col(date).between(F.lit(span["first"]), F.lit(span["last"]))
+    if span["undated"]:
+        inside = inside | F.col(date).isNull()
+    skip -= span["newer"]
+    if span["rows"] <= max_day_rows:
+        return df.where(inside).orderBy(*order).offset(skip).limit(size)
+    rows = numbered(df.where(inside), [], order, "_pos")
+    return rows.where(F.col("_pos").between(skip + 1, skip + size)).drop("_pos").orderBy(*order)
 
 
 def split_by_time(
@@ -83,12 +112,13 @@ def split_by_time(
     )
     if cut is None:
         return df.withColumn("split", F.lit("test"))
-    is_cut = F.col(date).eqNullSafe(F.lit(cut["_day"]).cast("date"))
-    side = F.when(
-        F.col(date).isNotNull() & (F.lit(cut["_day"]).cast("date").isNull() | (F.col(date) > F.lit(cut["_day"]))),
-        "train",
-    ).otherwise("test")
-    rest = df.where(~is_cut).withColumn("split", side)
+    if cut["_day"] is None:
+        # The cut falls among the rows without a date: all dated ones are newer.
+        is_cut, newer = F.col(date).isNull(), F.lit(True)
+    else:
+        is_cut = F.col(date).eqNullSafe(F.lit(cut["_day"]))
+        newer = F.coalesce(F.col(date) > F.lit(cut["_day"]), F.lit(False))
+    rest = df.where(~is_cut).withColumn("split", F.when(newer, "train").otherwise("test"))
     day = df.where(is_cut)
     order = [F.col(c) for c in tie]
     if cut["_n"] > max_day_rows and order:

@@ -118,7 +118,7 @@ def etl_load(t):
     """Published, then one year published again with other readings; read back whole."""
     rows = etl.transform(_raw(t), t.stations, t.baselines)
     name = work_table("isobar_published")
-    table = etl.load(rows, name, work_path(t.spark, "published"), keep=TIE)
+    table = etl.load(rows, name, work_path(t.spark, "published"), buckets=2, keep=TIE)
     again = table.where("year = 1997").withColumn("temp_mean", F.col("temp_mean") + 100)
     # A table cannot be overwritten while it is read: stage the new rows.
     stage = work_path(t.spark, "again")

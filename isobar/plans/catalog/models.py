@@ -89,7 +89,6 @@ def ml_sums(t):
 )
 def ml_fit(t):
     fitted = model.fit(model.features(t.fact))
-    # Joined with the inputs' names, so the plan still starts from the data.
     return rounded(model.coefficients(t.spark, fitted), 6, "value")
 
 

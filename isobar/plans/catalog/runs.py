@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from isobar.operators import assess
 from isobar.plans.adapter import r, with_views
 from isobar.plans.catalog.base import query
@@ -117,24 +115,13 @@ def recent_recs(t):
     "run_detail",
     with_views(
         "metrics",
-        f"""WITH {RULES_SQL},
-       graded AS (SELECT run_id, string_agg(name || '=' || grade, ', ' ORDER BY name) AS metrics
-                  FROM (SELECT run_id, name, {GRADE_SQL} FROM metrics) GROUP BY run_id),
-       advice AS (SELECT scenario_type, string_agg(setting || '=' || value, ', ' ORDER BY setting) AS recommendations
-                  FROM rules GROUP BY scenario_type)
-  SELECT run_id, scenario, scenario_type, seconds, status, metrics, recommendations
-  FROM runs LEFT JOIN graded USING (run_id) LEFT JOIN advice USING (scenario_type)""",
+        f"""WITH {RULES_SQL}
+  SELECT run_id, scenario, scenario_type, seconds, status, 'metric' AS kind, name AS item, value, target, grade AS note
+  FROM runs JOIN (SELECT *, {GRADE_SQL} FROM metrics) USING (run_id)
+  UNION ALL
+  SELECT run_id, scenario, scenario_type, seconds, status, 'recommendation', setting, NULL, NULL, value
+  FROM runs JOIN rules USING (scenario_type)""",
     ),
 )
 def run_detail(t):
-    """Arrays of the detail shown as text lists."""
-    rows = assess.run_detail(t.runs, t.metrics, assess.rules(t.spark))
-
-    def listed(c, a, b):
-        return F.array_join(F.transform(c, lambda s: F.concat(s[a], F.lit("="), s[b])), ", ")
-
-    return rows.select(
-        "run_id", "scenario", "scenario_type", "seconds", "status",
-        listed("metrics", "name", "grade").alias("metrics"),
-        listed("recommendations", "setting", "value").alias("recommendations"),
-    )
+    return assess.run_detail(t.runs, t.metrics, assess.rules(t.spark))

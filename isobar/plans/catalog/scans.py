@@ -210,15 +210,13 @@ def distribute_sort(t):
 
 @query("page", with_views("fact", NEWEST_SQL % ("", 100) + " OFFSET 200"))
 def page(t):
-    order = [F.col("observation_date").desc_nulls_last(), *[F.col(c) for c in DAY_ORDER]]
-    return ordering.page(t.fact, order, 3, 100)
+    return ordering.page(t.fact, DAY_ORDER, 3, 100)
 
 
 @query("page_far", with_views("fact", NEWEST_SQL % ("", 100) + " OFFSET 30000"))
 def page_far(t):
-    """A page far from the start: distributed row numbers instead of a long top-k."""
-    order = [F.col("observation_date").desc_nulls_last(), *[F.col(c) for c in DAY_ORDER]]
-    return ordering.page(t.fact, order, 301, 100)
+    """A page far from the start: only the days it lies in are sorted."""
+    return ordering.page(t.fact, DAY_ORDER, 301, 100)
 
 
 UNION_SQL = " UNION ALL ".join(

@@ -11,7 +11,12 @@ from isobar.operators.aggregates import monthly_climate
 from isobar.operators.clean import clean
 from isobar.operators.joins import enrich
 from isobar.operators.windows import rolling_precip, year_over_year
-from isobar.sources.tables import append_rows, overwrite_partitions, write_warehouse
+from isobar.sources.tables import (
+    append_rows,
+    buckets_for,
+    overwrite_partitions,
+    write_warehouse,
+)
 
 # Columns of the published table; the partition columns come last.
 PUBLISHED = [
@@ -36,6 +41,8 @@ PUBLISHED = [
     "region",
 ]
 PARTITIONS = ("year", "region")
+# A guess at how many (year, region) pairs share the rows.
+EXPECTED_PARTITIONS = 35
 
 
 @dataclass
@@ -88,8 +95,12 @@ def run(
     baselines: DataFrame,
     table: str,
     path: str | None = None,
-    buckets: int | None = 32,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """The whole pipeline. Returns the monthly summary of the published table."""
+    """The whole pipeline. Returns the monthly summary of the published table.
+
+    Without a number of buckets, the raw row count decides.
+    """
+    buckets = buckets or buckets_for(raw.count(), EXPECTED_PARTITIONS)
     published = load(transform(raw, stations, baselines), table, path, buckets)
     return monthly_climate(published)

@@ -16,6 +16,7 @@ from isobar.operators.filters import date_range
 from isobar.operators.joins import match_region, split_known
 from isobar.operators.ordering import newest, union_all
 from isobar.operators.upsert import action_counts, defaults, first_per_key, merge_flagged
+from isobar.session import work_path
 from isobar.sources.files import read_text_columns
 
 OBSERVATION_KEY = ["station_id", "observation_date"]
@@ -140,15 +141,15 @@ def full_sync(
     )
 
 
-def classify_observation_text(
-    raw: DataFrame, stations: DataFrame, target: DataFrame, order: Sequence[Column]
+def classify_observations(
+    rows: DataFrame, stations: DataFrame, target: DataFrame, order: Sequence[Column]
 ) -> DataFrame:
-    """Typed rows of a text load, each with its `action`.
+    """Coerced rows of a text load, each with its `action`.
 
     skipped: unknown station or blank date; error: text that does not parse;
-    duplicate: key already in the target or earlier in the file; else created.
+    duplicate: the key is in the target; created: of the rows with a new key,
+    the first under `order`.
     """
-    rows = coerce_observations(raw)
     known = stations.select("station_id", F.lit(True).alias("_known"))
     there = target.select(*OBSERVATION_KEY, F.lit(True).alias("_there"))
     rows = rows.join(known, "station_id", "left")
@@ -180,8 +181,13 @@ def load_observation_text(
     schema=schemas.OBSERVATIONS,
     limit: int | None = None,
 ) -> DataFrame:
-    """Read a delimited file as text and classify its rows."""
+    """Read a delimited file as text and classify its rows.
+
+    The coerced rows are staged as Parquet, so the text is parsed once.
+    """
     raw = read_text_columns(spark, path, schema)
     if limit:
         raw = raw.limit(limit)
-    return classify_observation_text(raw, stations, target, order)
+    stage = work_path(spark, "coerced")
+    coerce_observations(raw).write.parquet(stage)
+    return classify_observations(spark.read.parquet(stage), stations, target, order)

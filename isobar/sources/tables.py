@@ -22,6 +22,15 @@ def _writer(df: DataFrame, fmt: str, path: str | None):
     return w.option("path", path) if path else w
 
 
+def buckets_for(rows: int, groups: int = 1, rows_per_bucket: int = 2_000_000) -> int:
+    """Number of buckets, a power of two, so that a bucket is a fair task.
+
+    A fixed number makes tiny files of a small table and huge tasks of a large one.
+    """
+    wanted = max(1, rows // max(1, groups) // rows_per_bucket)
+    return min(1 << (wanted - 1).bit_length(), 65_536)
+
+
 def load_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
     """Replace the whole table with the frame's rows."""
     _writer(df, fmt, path).mode("overwrite").saveAsTable(name)
@@ -82,7 +91,7 @@ def bucketed_pair(
     key: str,
     fact_table: str,
     dim_table: str,
-    buckets: int = 32,
+    buckets: int | None = None,
     fact_path: str | None = None,
     dim_path: str | None = None,
     max_key_rows: int = GROUP_ROWS,
@@ -92,6 +101,7 @@ def bucketed_pair(
     A bucket is read by one task, so keys with too many rows are kept apart in
     an unbucketed table `<fact_table>_hot`. Returns (fact, dim, hot or None).
     """
+    buckets = buckets or max(8, buckets_for(fact.count()))
     cold, hot = split_hot(fact, [key], max_key_rows)
     f = write_warehouse(cold, fact_table, (), buckets, key, fact_path, "parquet")
     d = write_warehouse(dim, dim_table, (), buckets, key, dim_path, "parquet")
