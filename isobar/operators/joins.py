@@ -90,15 +90,11 @@ def country_region_bucketed(
 
 def enrich(obs: DataFrame, stations: DataFrame, baselines: DataFrame) -> DataFrame:
     """Adds station attributes, the anomaly against the region's baseline and the season."""
-    dim = stations.select(
-        "station_id", "station_name", "country", "region", "latitude", "longitude"
-    )
-    # Station × baseline first: both small, and the fact is joined once.
-    dim = dim.join(baselines, "region", "left")
     attrs = ["station_name", "country", "region", "latitude", "longitude"]
     return (
         obs.drop(*attrs)
-        .join(dim, "station_id")
+        .join(stations.select("station_id", *attrs), "station_id")
+        .join(baselines, "region", "left")
         .withColumn("temp_anomaly", F.col("temp_mean") - F.col("baseline_temp"))
         .withColumn("month_sin", month_sin("month"))
         .withColumn("month_cos", month_cos("month"))
@@ -171,16 +167,10 @@ def fact_by_fact(left: DataFrame, right: DataFrame, from_year: int = 2020) -> Da
 
 def with_station(fact: DataFrame, stations: DataFrame, regions: DataFrame) -> DataFrame:
     """Observation → station → region: the full record of one observation."""
-    dim = stations.join(regions.select(F.col("name").alias("region"), "code"), "region").select(
-        "station_id",
-        "station_name",
-        "country",
-        "region",
-        F.col("code").alias("region_code"),
-        "latitude",
-        "longitude",
+    attrs = ["station_name", "country", "region", "latitude", "longitude"]
+    return fact.join(stations.select("station_id", *attrs), "station_id").join(
+        regions.select(F.col("name").alias("region"), F.col("code").alias("region_code")), "region"
     )
-    return fact.join(dim, "station_id")
 
 
 def station_counts(stations: DataFrame, fact: DataFrame) -> DataFrame:
@@ -239,10 +229,10 @@ def match_region(df: DataFrame, regions: DataFrame, text: str = "region_text") -
 def star(
     fact: DataFrame,
     dims: Sequence[tuple[DataFrame, Column | str]],
-    keys: Sequence[str],
+    keys: Sequence[Column | str],
     aggs: Sequence[Column],
 ) -> DataFrame:
-    """A fact joined with several dimensions, then grouped."""
+    """A fact joined with one dimension after the other, then grouped."""
     for dim, on in dims:
         fact = fact.join(dim, on)
     return fact.groupBy(*keys).agg(*aggs)

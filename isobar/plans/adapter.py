@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions.columns import region_code
+from isobar.operators.skew import BROADCAST_ROWS
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -122,26 +123,43 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @cached_property
-    def stations(self) -> DataFrame:
+    def _with_place(self, df: DataFrame) -> DataFrame:
+        """Nation and region of a frame with supplier columns.
+
+        Every join has a plain file on its right side: Spark knows its size.
+        The size of a joined dimension would be guessed as the product of its
+        parts, and the fact broadcast instead.
+        """
+        return df.join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(
+            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+        )
+
+    @staticmethod
+    def _attributes() -> list[Column]:
         key = F.col("s_suppkey")
-        return (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.alias("station_id"),
-                F.col("s_name").alias("station_name"),
-                F.col("n_name").alias("country"),
-                F.col("r_name").alias("region"),
-                ((key % 72).cast("double") - 35).alias("latitude"),
-                ((key % 68).cast("double") - 17).alias("longitude"),
-                F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal") / 4).alias("elevation"),
-                (key % 3 == 0).alias("is_coastal"),
-                (F.col("s_acctbal") > 0).alias("is_active"),
-            )
+        return [
+            F.col("s_name").alias("station_name"),
+            F.col("n_name").alias("country"),
+            F.col("r_name").alias("region"),
+            ((key % 72).cast("double") - 35).alias("latitude"),
+            ((key % 68).cast("double") - 17).alias("longitude"),
+            F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal") / 4).alias("elevation"),
+            (key % 3 == 0).alias("is_coastal"),
+            (F.col("s_acctbal") > 0).alias("is_active"),
+        ]
+
+    @cached_property
+    def plain_stations(self) -> DataFrame:
+        return self._with_place(self.table("supplier")).select(
+            F.col("s_suppkey").alias("station_id"), *self._attributes()
         )
 
+    @cached_property
+    def stations(self) -> DataFrame:
+        """Stations, to be broadcast if their file says they are few."""
+        few = self.table("supplier").count() <= BROADCAST_ROWS
+        return F.broadcast(self.plain_stations) if few else self.plain_stations
+
     @cached_property
     def fact(self) -> DataFrame:
         q, coastal = F.col("l_quantity"), F.col("l_suppkey") % 3 == 0
@@ -175,7 +193,10 @@ class Inputs:
     @cached_property
     def obs(self) -> DataFrame:
         """Observations with their station's attributes."""
-        return self.fact.join(self.stations, "station_id")
+        rows = self.fact.join(
+            self.table("supplier"), F.col("station_id") == F.col("s_suppkey")
+        )
+        return self._with_place(rows).select(*self.fact.columns, *self._attributes())
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -187,6 +208,12 @@ class Inputs:
             }
         )
 
+    @cached_property
+    def raw_obs(self) -> DataFrame:
+        """Raw readings with their region, as delivered files carry it."""
+        rows = self.raw.join(self.table("supplier"), F.col("station_id") == F.col("s_suppkey"))
+        return self._with_place(rows).select(*self.raw.columns, F.col("r_name").alias("region"))
+
     @cached_property
     def regions(self) -> DataFrame:
         return self.table("region").select(

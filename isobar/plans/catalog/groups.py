@@ -450,16 +450,14 @@ def revenue_cat(t):
         ["o_custkey", "category"],
         [F.sum("l_extendedprice").alias("revenue")],
     )
-    home = (
-        t.table("customer")
-        .join(t.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("r_name").alias("region"))
-    )
     out = joins.star(
         per_customer,
-        [(home, F.col("o_custkey") == F.col("c_custkey"))],
-        ["region", "category"],
+        [
+            (t.table("customer"), F.col("o_custkey") == F.col("c_custkey")),
+            (t.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")),
+            (t.table("region"), F.col("n_regionkey") == F.col("r_regionkey")),
+        ],
+        [F.col("r_name").alias("region"), "category"],
         [F.sum("revenue").alias("total_revenue"), F.count("*").alias("unique_customers")],
     )
     return rounded(out, 2, "total_revenue").orderBy(F.desc("total_revenue"), "region", "category")

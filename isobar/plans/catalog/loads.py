@@ -41,10 +41,6 @@ ENRICHED = """enriched AS (
 PIPELINE = "WITH " + ", ".join([RAW_REGION, CLEANED, ENRICHED])
 
 
-def _raw(t):
-    return t.raw.join(t.stations.select("station_id", "region"), "station_id")
-
-
 @query(
     "etl_clean",
     with_views(
@@ -55,7 +51,7 @@ def _raw(t):
 def etl_clean(t):
     from isobar.operators.clean import clean
 
-    rows = clean(etl.extract(_raw(t)))
+    rows = clean(etl.extract(t.raw_obs))
     rows = rows.select("k1", "k2", "k3", "station_id", "region", "temp_mean", "humidity", "precipitation")
     return rounded(rows, 6, "precipitation")
 
@@ -71,7 +67,7 @@ def etl_clean(t):
     ),
 )
 def etl_enrich(t):
-    rows = etl.transform(_raw(t), t.stations, t.baselines).select(
+    rows = etl.transform(t.raw_obs, t.stations, t.baselines).select(
         "k1", "k2", "k3", "station_id", "region", "country", "latitude", "longitude", "temp_mean",
         "temp_anomaly", "humidity", "precipitation", "month_sin", "month_cos",
     )
@@ -95,7 +91,7 @@ MONTHLY_SQL = (
 )
 def etl_aggregate(t):
     """The monthly summary with its change against the year before."""
-    parts = etl.aggregate(etl.transform(_raw(t), t.stations, t.baselines))
+    parts = etl.aggregate(etl.transform(t.raw_obs, t.stations, t.baselines))
     monthly = rounded(rounded(parts.monthly, 6, "avg_temp"), 2, "total_precip")
     change = parts.yearly_change.select("region", "year", "month", "change")
     return monthly.join(change, ["region", "year", "month"])
@@ -116,7 +112,7 @@ LOADED = ["k1", "k2", "k3", "station_id", "year", "month", "region", "temp_mean"
 )
 def etl_load(t):
     """Published, then one year published again with other readings; read back whole."""
-    rows = etl.transform(_raw(t), t.stations, t.baselines)
+    rows = etl.transform(t.raw_obs, t.stations, t.baselines)
     name = work_table("isobar_published")
     table = etl.load(rows, name, work_path(t.spark, "published"), buckets=2, keep=TIE)
     again = table.where("year = 1997").withColumn("temp_mean", F.col("temp_mean") + 100)
@@ -134,7 +130,7 @@ def etl_load(t):
 def etl_full(t):
     """Extract, clean, enrich, load, and summarize the published table."""
     out = etl.run(
-        _raw(t), t.stations, t.baselines, work_table("isobar_etl"), work_path(t.spark, "etl")
+        t.raw_obs, t.stations, t.baselines, work_table("isobar_etl"), work_path(t.spark, "etl")
     )
     return rounded(rounded(out, 6, "avg_temp"), 2, "total_precip")
 

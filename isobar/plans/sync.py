@@ -117,6 +117,13 @@ def observation_counts(sync: ObservationSync) -> DataFrame:
     )
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame to the shared folder and go on from there."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def full_sync(
     regions: tuple[DataFrame, DataFrame],
     stations: DataFrame,
@@ -126,17 +133,18 @@ def full_sync(
 ) -> DataFrame:
     """Regions, then stations, then observations: counts per entity.
 
-    `regions` is (existing, incoming). Observations are checked against the
+    `regions` is (existing, incoming). Each merged table is written once; the
+    next step and the counts read it. Observations are checked against the
     stations as they are after the station step.
     """
-    merged_regions = sync_regions(*regions)
+    merged_regions = _staged(sync_regions(*regions), "regions")
     st = sync_stations(source, stations, merged_regions.drop("action"))
-    obs = sync_observations(
-        source, target, st.stations.select("station_id"), order
-    )
+    merged_stations = _staged(st.stations, "stations")
+    obs = sync_observations(source, target, merged_stations.select("station_id"), order)
+    obs = ObservationSync(_staged(obs.merged, "observations"), obs.skipped)
     return union_all(
         action_counts(merged_regions, "regions"),
-        action_counts(st.stations, "stations"),
+        action_counts(merged_stations, "stations"),
         observation_counts(obs),
     )
 
