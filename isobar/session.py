@@ -48,14 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="isobar-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base
 
 
