@@ -78,9 +78,13 @@ def latest_success(runs: DataFrame) -> DataFrame:
     return rows.select("scenario_type", "run_id", "seconds", "executed_at")
 
 
+def recent_runs(runs: DataFrame, last: int = 10) -> DataFrame:
+    return runs.orderBy(F.desc("executed_at"), F.desc("run_id")).limit(last)
+
+
 def run_history(runs: DataFrame, last: int = 50) -> DataFrame:
     """The last runs by scenario: how many, and the mean time of the successes."""
-    recent = runs.orderBy(F.desc("executed_at"), F.desc("run_id")).limit(last)
+    recent = recent_runs(runs, last)
     mean = F.coalesce(F.avg(F.when(_ok(), F.col("seconds"))), F.lit(0.0))
     return recent.groupBy("scenario").agg(
         F.count("*").alias("runs"), stable_round(mean, 6).alias("avg_seconds")
@@ -106,6 +110,10 @@ def grade_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("grade", grade(F.col("value"), F.col("target"), F.col("direction")))
 
 
+def grade_counts(metrics: DataFrame) -> DataFrame:
+    return grade_metrics(metrics).groupBy("grade").agg(F.count("*").alias("n"))
+
+
 def health(
     runs: DataFrame, limits: Mapping[str, tuple[float, float, float]] = HEALTH_LIMITS_BY_TYPE
 ) -> DataFrame:

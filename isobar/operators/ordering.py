@@ -92,6 +92,18 @@ def page(
     return rows.where(F.col("_pos").between(skip + 1, skip + size)).drop("_pos").orderBy(*order)
 
 
+def page_by(df: DataFrame, order: Sequence[Column], number: int = 1, size: int = 100) -> DataFrame:
+    """Page `number` (from 1) under any total order.
+
+    Near pages are a top-k, far ones take distributed row numbers.
+    """
+    skip = (number - 1) * size
+    if skip + size <= HEAP_ROWS:
+        return df.orderBy(*order).offset(skip).limit(size)
+    rows = numbered(df, [], order, "_pos")
+    return rows.where(F.col("_pos").between(skip + 1, skip + size)).drop("_pos").orderBy(*order)
+
+
 def split_by_time(
     df: DataFrame,
     fraction: float = 0.8,

@@ -39,6 +39,7 @@ def sst_anomaly(
     back: int = 365,
     max_group_rows: int = GROUP_ROWS,
     block_rows: int = 1_000_000,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Sea-surface temperature against the mean of the station's `back` rows before.
 
@@ -46,7 +47,9 @@ def sst_anomaly(
     one shuffle; stations above `max_group_rows` are numbered by a range
     shuffle and cut into blocks that carry the `back` rows before them.
     """
-    rows = fact.where(F.col("sea_surface_temp").isNotNull() & (F.col("year") >= from_year))
+    rows = fact.where(F.col("sea_surface_temp").isNotNull() & (F.col("year") >= from_year)).select(
+        "station_id", "observation_date", "sea_surface_temp", *tie, *keep
+    )
     order = [F.col("observation_date"), *[F.col(c) for c in tie]]
     cold, hot = split_hot(rows, ["station_id"], max_group_rows)
     out = _trailing_anomaly(cold, ["station_id"], order, "sea_surface_temp", back)

@@ -8,6 +8,7 @@ from isobar.operators import upsert
 from isobar.plans import etl, sync
 from isobar.plans.adapter import TIE, r, with_views
 from isobar.plans.catalog.base import query, rounded
+from isobar.plans.catalog.scans import station_text
 from isobar.schemas import MEASURES
 from isobar.session import work_path, work_table
 from isobar.sources import tables
@@ -295,6 +296,36 @@ def upsert_stations(t):
     return sync.sync_stations(t.obs, _station_target(t), t.regions).stations
 
 
+@query(
+    "load_station_csv",
+    with_views(
+        "stations",
+        """WITH arriving AS (
+    SELECT station_id, CASE WHEN station_id % 5 = 0 THEN CAST(station_id AS VARCHAR) ELSE station_name END AS station_name,
+           CASE WHEN station_id % 7 <> 0 THEN country ELSE 'Unknown' END AS country,
+           replace(substr(upper(region), 1, 10), ' ', '_') AS region_code,
+           CASE WHEN station_id % 4 = 0 THEN 0 ELSE CAST(12.5 AS DOUBLE) END AS latitude,
+           CASE WHEN station_id % 6 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(-7 AS DOUBLE) END AS longitude,
+           station_id % 5 IN (0, 1, 2) AS is_coastal, station_id % 3 <> 0 AS is_active,
+           CASE WHEN station_id % 2 = 0 THEN CAST(250.5 AS DOUBLE) END AS elevation
+    FROM stations WHERE station_id % 11 <> 0),
+  target AS (SELECT station_id, station_name, country, 'OLD' AS region_code, latitude, longitude, false AS is_coastal, is_active, elevation
+             FROM stations WHERE NOT is_active)
+  SELECT a.*, CASE WHEN t.station_id IS NULL THEN 'created' ELSE 'updated' END AS action
+  FROM arriving a LEFT JOIN target t ON a.station_id = t.station_id
+  UNION ALL
+  SELECT t.*, 'kept' FROM target t WHERE station_id NOT IN (SELECT station_id FROM arriving)""",
+    ),
+)
+def load_station_csv(t):
+    """A station file with gaps and bad numbers, merged into the inactive stations."""
+    path = work_path(t.spark, "csv")
+    station_text(t).write.option("header", True).csv(path)
+    target = _station_target(t).withColumn("station_id", F.col("station_id").cast("string"))
+    done, _ = sync.load_station_text(t.spark, path, target, t.regions)
+    return done.stations.withColumn("station_id", F.col("station_id").cast("long"))
+
+
 @query(
     "new_regions",
     with_views(

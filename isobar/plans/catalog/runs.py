@@ -74,6 +74,22 @@ def grade_metrics(t):
     return assess.grade_metrics(t.metrics).drop("unit")
 
 
+@query(
+    "metric_grades",
+    with_views("metrics", f"SELECT grade, count(*) AS n FROM (SELECT {GRADE_SQL} FROM metrics) GROUP BY grade"),
+)
+def metric_grades(t):
+    return assess.grade_counts(t.metrics)
+
+
+@query(
+    "recent_runs",
+    with_views("runs", "SELECT * FROM runs ORDER BY executed_at DESC, run_id DESC LIMIT 10"),
+)
+def recent_runs(t):
+    return assess.recent_runs(t.runs, 10)
+
+
 HEALTH_SQL = """health AS (
     SELECT scenario_type, CASE WHEN s <= f * 2 THEN 'excellent' WHEN s <= f * 4 THEN 'good'
                                WHEN s <= g THEN 'fair' ELSE 'poor' END AS status, s

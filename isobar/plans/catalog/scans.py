@@ -22,7 +22,7 @@ def scan_obs(t):
     return t.fact.select(*SYNC_COLUMNS)
 
 
-def _station_text(t):
+def station_text(t):
     """Stations as they might arrive in a file: text, with gaps and bad numbers."""
     k = F.col("station_id")
     return t.stations.select(
@@ -58,7 +58,7 @@ def _station_text(t):
     ),
 )
 def csv_coerce(t):
-    typed = clean.coerce_stations(_station_text(t))
+    typed = clean.coerce_stations(station_text(t))
     return typed.withColumn("n_errors", F.size("errors")).drop("errors")
 
 
@@ -219,6 +219,14 @@ def page_far(t):
     return ordering.page(t.fact, DAY_ORDER, 301, 100)
 
 
+@query(
+    "page_stations",
+    with_views("stations", "SELECT * FROM stations ORDER BY station_name, station_id LIMIT 7 OFFSET 7"),
+)
+def page_stations(t):
+    return ordering.page_by(t.plain_stations, [F.asc("station_name"), F.asc("station_id")], 2, 7)
+
+
 UNION_SQL = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ("stations", "fact", "regions")
 )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from isobar import schemas
 from isobar.functions.columns import region_code
 from isobar.operators.aggregates import stations_distinct
-from isobar.operators.clean import coerce_observations
+from isobar.operators.clean import coerce_observations, coerce_stations, split_rejects
 from isobar.operators.filters import date_range
 from isobar.operators.joins import match_region, split_known
 from isobar.operators.ordering import newest, union_all
@@ -31,6 +31,13 @@ DEFAULT_REGIONS = [
 ]
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame to the shared folder and go on from there."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_regions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DEFAULT_REGIONS, schemas.REGIONS)
 
@@ -74,6 +81,29 @@ def sync_stations(obs: DataFrame, target: DataFrame, regions: DataFrame) -> Stat
     )
 
 
+def load_station_text(
+    spark: SparkSession, path: str, target: DataFrame, regions: DataFrame
+) -> tuple[StationSync, DataFrame]:
+    """Stations of a delimited file merged by id; (result, rejected rows).
+
+    The region is found by the code made from its name, and made if missing.
+    Of equal ids the first under name and region stands.
+    """
+    typed = _staged(coerce_stations(read_text_columns(spark, path, schemas.STATIONS)), "stations")
+    good, rejects = split_rejects(typed)
+    good = good.withColumn("region_code", region_code("region"))
+    new_regions = (
+        good.groupBy(F.col("region_code").alias("code"))
+        .agg(F.min("region").alias("name"))
+        .join(regions.select("code"), "code", "left_anti")
+        .select("name", "code", F.lit(None).cast("string").alias("description"))
+    )
+    rows = first_per_key(good, ["station_id"], [F.col("station_name"), F.col("region")])
+    updates = [*STATION_UPDATES, "elevation", "is_active"]
+    rows = rows.select("station_id", *updates)
+    return StationSync(merge_flagged(target, rows, ["station_id"], updates), new_regions), rejects
+
+
 @dataclass
 class ObservationSync:
     merged: DataFrame
@@ -117,13 +147,6 @@ def observation_counts(sync: ObservationSync) -> DataFrame:
     )
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame to the shared folder and go on from there."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def full_sync(
     regions: tuple[DataFrame, DataFrame],
     stations: DataFrame,

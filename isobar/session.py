@@ -14,6 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Fair tasks and files of a useful size on large inputs.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Row counts from ANALYZE, where a table has them, order the joins.
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.orc.filterPushdown": "true",

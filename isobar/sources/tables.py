@@ -68,6 +68,27 @@ def write_warehouse(
     return df.sparkSession.table(name)
 
 
+def read_partitions(spark: SparkSession, name: str, **wanted) -> DataFrame:
+    """Rows of chosen partitions; a read without any partition bound is refused.
+
+    A value stands for equality, a list for membership, a pair for a closed range.
+    """
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    unknown = sorted(set(wanted) - set(parts))
+    if unknown:
+        raise ValueError(f"not partition columns of {name}: {unknown}")
+    if parts and not wanted:
+        raise ValueError(f"{name} is partitioned by {parts}: bound at least one of them")
+    df = spark.table(name)
+    for column, value in wanted.items():
+        c = F.col(column)
+        if isinstance(value, tuple):
+            df = df.where(c.between(*value))
+        else:
+            df = df.where(c.isin(value) if isinstance(value, list) else c == value)
+    return df
+
+
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace only those partitions of the table that occur in the frame."""
     spark = df.sparkSession

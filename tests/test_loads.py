@@ -171,6 +171,35 @@ def test_external_table(spark, tmp_path):
     assert (folder / "s.csv").exists()
 
 
+def test_load_station_text(spark, tmp_path):
+    text = STATION_CSV + "KE-EAS-00003,,,Outer Isles,north,1,2,1,1,z\n"
+    path = write_text(tmp_path / "stations.csv", text)
+    target = spark.createDataFrame(
+        [("ZA-SOU-00002", "Old", "ZA", "SOUTH", 0.0, 0.0, True, False, 1.0)],
+        "station_id string, station_name string, country string, region_code string, latitude double, "
+        "longitude double, is_coastal boolean, is_active boolean, elevation double",
+    )
+    regions = spark.createDataFrame([("South", "SOUTH", "")], schemas.REGIONS)
+    done, rejects = sync.load_station_text(spark, path, target, regions)
+    got = {r.station_id: r for r in done.stations.collect()}
+    assert {k: r.action for k, r in got.items()} == {"KE-EAS-00001": "created", "ZA-SOU-00002": "updated"}
+    # The file says which stations are active.
+    assert got["KE-EAS-00001"].is_active is False and got["ZA-SOU-00002"].is_active is True
+    assert [r.code for r in done.new_regions.collect()] == ["EAST"]
+    assert [r.station_id for r in rejects.collect()] == ["KE-EAS-00003"]
+
+
+def test_reads_need_a_partition_bound(spark, target):
+    name = work_table("strict")
+    tables.write_warehouse(target, name, path=work_path(spark, "strict"), buckets=None)
+    assert tables.read_partitions(spark, name, year=2020).count() == 2
+    assert tables.read_partitions(spark, name, year=(2020, 2021), region=["E", "N"]).count() == 2
+    with pytest.raises(ValueError):
+        tables.read_partitions(spark, name)
+    with pytest.raises(ValueError):
+        tables.read_partitions(spark, name, month=1)
+
+
 OBS_CSV = """station_id,observation_date,year,month,temp_max,temp_min,temp_mean,precipitation,humidity,sea_surface_temp,ocean_salinity,region
 a,2020-01-01,,,2,1,1.5,0,50,,,E
 a,2020-01-01 00:00:00,2020,1,9,9,9,9,9,,,E

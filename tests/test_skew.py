@@ -110,6 +110,15 @@ def test_far_pages(hot, monkeypatch, number, day_rows):
     assert [r.id for r in got.collect()] == _newest_first(hot)[(number - 1) * 100 : number * 100]
 
 
+@pytest.mark.parametrize("number", [1, 7, 13])
+def test_pages_of_any_order(hot, monkeypatch, number):
+    monkeypatch.setattr(ordering, "HEAP_ROWS", 10)
+    order = [F.desc("station_id"), F.asc("id")]
+    got = [r.id for r in ordering.page_by(hot, order, number, 100).collect()]
+    want = [r.id for r in hot.orderBy(*order).collect()]
+    assert got == want[(number - 1) * 100 : number * 100]
+
+
 @pytest.mark.parametrize("fraction", [0.0, 0.5, 0.8, 1.0])
 @pytest.mark.parametrize("day_rows", [10**6, 0])
 def test_split_by_time(hot, fraction, day_rows):
