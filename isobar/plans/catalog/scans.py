@@ -130,24 +130,106 @@ def storage_report(t):
     return tables.storage_report(t.obs, work_path(t.spark, "storage"))
 
 
-@query("gen_stations")
+# -- generators: the same digests taken in SQL -------------------------------
+
+G = generate
+PER_STATION = 50
+
+
+def _u(key: str, seed: int, draw: int) -> str:
+    digest = f"md5(concat_ws('#', {key}, '{seed}', '{draw // 4}'))"
+    return f"(CAST('0x' || substr({digest}, {8 * (draw % 4) + 1}, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
+
+
+def _near(expr: str, places: int) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+
+
+def _span(u: str, low, high) -> str:
+    return f"CAST({low} AS DOUBLE) + {u} * (CAST({high} AS DOUBLE) - CAST({low} AS DOUBLE))"
+
+
+def _pick(items, u: str) -> str:
+    listed = "[" + ", ".join(f"'{i}'" for i in items) + "]"
+    return f"{listed}[CAST(floor({u} * {len(items)}) AS INT) + 1]"
+
+
+def _by_region(value) -> str:
+    cases = " ".join(f"WHEN '{n}' THEN {value(p)}" for n, p in G.REGION_PROFILES.items())
+    return f"CASE region {cases} END"
+
+
+def _stations_made(seed: int = 7) -> str:
+    def u(draw):
+        return _u("i", seed, G.STATION_DRAWS.index(draw))
+
+    return f"""
+  placed AS (SELECT s_suppkey AS i, {_pick(G.REGION_PROFILES, _u('s_suppkey', seed, 0))} AS region FROM supplier),
+  coded AS (SELECT *, {_by_region(lambda p: _pick(p[0].split(), u('country')))} AS country FROM placed),
+  named AS (SELECT *, country || '-' || upper(substr(region, 1, 3)) || '-' || printf('%05d', i) AS station_id FROM coded),
+  made AS (
+    SELECT station_id, 'Station ' || station_id AS station_name, country, region,
+           {_near(_by_region(lambda p: _span(u('lat'), *p[1])), 4)} AS latitude,
+           {_near(_by_region(lambda p: _span(u('lon'), *p[2])), 4)} AS longitude,
+           {_near(_span(u('elevation'), 0, 3000), 1)} AS elevation,
+           {u('coastal')} < CAST({G.COASTAL_SHARE} AS DOUBLE) AS is_coastal,
+           {u('active')} < CAST({G.ACTIVE_SHARE} AS DOUBLE) AS is_active
+    FROM named)"""
+
+
+def _observations_made(seed: int = 7) -> str:
+    def u(draw):
+        return _u("key", seed, G.OBSERVATION_DRAWS.index(draw))
+
+    total = 16437  # days from 1980 to 2024
+    wet = ", ".join(f"'{w}'" for w in G.WET_REGIONS)
+    return f"""
+  slots AS (SELECT station_id, region, is_coastal, k, concat_ws('#', station_id, k) AS key,
+                   floor(k * {total} / {PER_STATION}) AS low, floor((k + 1) * {total} / {PER_STATION}) AS high
+            FROM made, range(0, {PER_STATION}) s(k)),
+  dated AS (SELECT *, DATE '1980-01-01' + CAST(low + floor({u('day')} * (high - low)) AS INT) AS observation_date,
+                   {_by_region(lambda p: f'CAST({p[3]} AS DOUBLE)')} + ({_span(u('mean'), -10, 15)}) AS mean FROM slots)
+  SELECT station_id, observation_date, CAST(year(observation_date) AS INT) AS year, CAST(month(observation_date) AS INT) AS month,
+         {_near(f"mean + ({_span(u('up'), 2, 8)})", 1)} AS temp_max, {_near(f"mean - ({_span(u('down'), 2, 8)})", 1)} AS temp_min,
+         {_near('mean', 1)} AS temp_mean,
+         {_near(f"least(-(CAST(CASE WHEN region IN ({wet}) THEN 100 ELSE 30 END AS DOUBLE) / 3) * ln(1 - {u('rain')}), 500)", 1)} AS precipitation,
+         {_near(_span(u('humidity'), 40, 95), 1)} AS humidity,
+         CASE WHEN is_coastal THEN {_near(_span(u('sst'), 18, 28), 1)} END AS sea_surface_temp,
+         CASE WHEN is_coastal THEN {_near(_span(u('salinity'), 33, 37), 1)} END AS ocean_salinity, region
+  FROM dated"""
+
+
+def _dated_made(spans: dict, seed: int) -> str:
+    key = "o_orderkey"
+    values = ", ".join(
+        f"{_near(_span(_u(key, seed, n), a, b), 2)} AS {name}" for n, (name, (a, b)) in enumerate(spans.items(), 2)
+    )
+    days = 1827  # days from 2020 to 2024
+    return (
+        f"SELECT DATE '2020-01-01' + CAST(floor({_u(key, seed, 0)} * {days}) AS INT) AS date, "
+        f"{_pick(G.REGION_PROFILES, _u(key, seed, 1))} AS region, {values} FROM orders"
+    )
+
+
+@query("gen_stations", f"WITH {_stations_made()} SELECT * FROM made")
 def gen_stations(t):
     """One generated station per supplier."""
     return generate.gen_stations(t.table("supplier"), id_col="s_suppkey")
 
 
-@query("gen_obs")
+@query("gen_obs", f"WITH {_stations_made()}, {_observations_made().strip()}")
 def gen_obs(t):
     """Generated observations for the stations generated from the suppliers."""
-    return generate.gen_obs(generate.gen_stations(t.table("supplier"), id_col="s_suppkey"), 50)
+    made = generate.gen_stations(t.table("supplier"), id_col="s_suppkey")
+    return generate.gen_obs(made, PER_STATION)
 
 
-@query("gen_climate")
+@query("gen_climate", _dated_made(G.CLIMATE_SPANS, 7))
 def gen_climate(t):
     return generate.gen_climate(t.table("orders"), id_col="o_orderkey")
 
 
-@query("gen_ocean")
+@query("gen_ocean", _dated_made(G.OCEAN_SPANS, 8))
 def gen_ocean(t):
     return generate.gen_ocean(t.table("orders"), id_col="o_orderkey")
 

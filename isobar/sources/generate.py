@@ -1,7 +1,7 @@
 """Distributed generators for stations, observations, climate and ocean rows.
 
-Every value is a hash of the row's key, a seed and the name of the draw: the
-rows do not depend on partitioning, and any row can be made anew.
+Every value comes from a digest of the row's key, a seed and the number of the
+draw: the rows do not depend on partitioning, and any row can be made anew.
 """
 
 from __future__ import annotations
@@ -34,6 +34,12 @@ ACTIVE_SHARE = 0.95
 OBSERVED_DAYS = ("1980-01-01", "2024-12-31")
 RECENT_DAYS = ("2020-01-01", "2024-12-31")
 
+# Which draw of a row stands for what.
+STATION_DRAWS = ["region", "country", "lat", "lon", "elevation", "coastal", "active"]
+OBSERVATION_DRAWS = ["day", "mean", "up", "down", "rain", "humidity", "sst", "salinity"]
+CLIMATE_SPANS = {"temperature": (15, 45), "rainfall": (0, 200), "humidity": (20, 95)}
+OCEAN_SPANS = {"sea_surface_temp": (10, 30), "ph_level": (7.8, 8.4), "salinity": (32, 38)}
+
 
 def ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id"))
@@ -81,7 +87,7 @@ def gen_stations(source: DataFrame, seed: int = 7, id_col: str = "id") -> DataFr
     """One station per row of `source`, whose id column numbers them."""
 
     def u(draw):
-        return uniform("_i", seed, draw)
+        return uniform("_i", seed, STATION_DRAWS.index(draw))
 
     base = source.select(F.col(id_col).cast("long").alias("_i")).withColumn(
         "region", _any_region(u("region"))
@@ -126,7 +132,7 @@ def gen_obs(stations: DataFrame, per_station: int, seed: int = 7) -> DataFrame:
     rows = rows.withColumn("_key", F.concat_ws("#", "station_id", "_k"))
 
     def u(draw):
-        return uniform("_key", seed, draw)
+        return uniform("_key", seed, OBSERVATION_DRAWS.index(draw))
 
     low = F.floor(F.col("_k") * F.lit(total) / k)
     high = F.floor((F.col("_k") + 1) * F.lit(total) / k)
@@ -157,8 +163,10 @@ def gen_obs(stations: DataFrame, per_station: int, seed: int = 7) -> DataFrame:
 
 
 def _dated(source: DataFrame, seed: int, id_col: str, measures: dict) -> DataFrame:
+    draws = ["day", "region", *measures]
+
     def u(draw):
-        return uniform(id_col, seed, draw)
+        return uniform(id_col, seed, draws.index(draw))
 
     day = F.floor(u("day") * F.lit(_days(RECENT_DAYS))).cast("int")
     return source.select(
@@ -169,10 +177,8 @@ def _dated(source: DataFrame, seed: int, id_col: str, measures: dict) -> DataFra
 
 
 def gen_climate(source: DataFrame, seed: int = 7, id_col: str = "id") -> DataFrame:
-    spans = {"temperature": (15, 45), "rainfall": (0, 200), "humidity": (20, 95)}
-    return _dated(source, seed, id_col, spans)
+    return _dated(source, seed, id_col, CLIMATE_SPANS)
 
 
 def gen_ocean(source: DataFrame, seed: int = 8, id_col: str = "id") -> DataFrame:
-    spans = {"sea_surface_temp": (10, 30), "ph_level": (7.8, 8.4), "salinity": (32, 38)}
-    return _dated(source, seed, id_col, spans)
+    return _dated(source, seed, id_col, OCEAN_SPANS)
