@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 from isobar.functions.columns import month_name, region_key, safe_corr, stable_round, with_suffix
 from isobar.operators.filters import year_range
 from isobar.operators.joins import merged_avg, partial_sums, station_counts
+from isobar.operators.skew import GROUP_ROWS, measured, running_total, split_hot
+from isobar.session import shared_dir
 
 # Pivot columns, report factors and the size estimate per row.
 PIVOT_REGIONS = ["east", "west", "north", "south", "central"]
@@ -75,27 +77,39 @@ def year_trend(obs: DataFrame) -> DataFrame:
     )
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, max_group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Median by counting: rows become one count per (keys, value) before any
-    group is looked at, so a group costs its distinct readings, not its rows."""
-    w = Window.partitionBy(*keys)
+    group is looked at, so a group costs its distinct readings, not its rows.
+
+    The counts are computed once. A group with very many readings is summed up
+    in pieces.
+    """
+    shared_dir(df.sparkSession)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_c"))
-        .withColumn("_n", F.sum("_c").over(w))
-        .withColumn(
-            "_upto",
-            F.sum("_c").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .withColumn("_before", F.col("_upto") - F.col("_c"))
-    )
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+        .checkpoint()
+    )
+    cold, hot = split_hot(counts, keys, max_group_rows)
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = cold.withColumn("_upto", F.sum("_c").over(w))
+    if hot is not None:
+        upto = upto.unionByName(running_total(hot, keys, [F.col("_v")], F.col("_c"), "_upto"))
+    totals = counts.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_c").alias("_n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    ranked = upto.join(measured(totals), same)
+    before = F.col("_upto") - F.col("_c")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_before") < rank) & (rank <= F.col("_upto")), F.col("_v")))
+        return F.max(F.when((before < rank) & (rank <= F.col("_upto")), F.col("_v")))
 
-    return counts.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias("median"))
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+    return ranked.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
 def region_stats(obs: DataFrame, exact: bool = False) -> DataFrame:

@@ -39,9 +39,11 @@ RULE_PRIORITY = "high"
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    """The fixed rules; fifteen rows, so a join may broadcast them."""
+    rows = spark.createDataFrame(
         RULES, "scenario_type string, setting string, value string, reason string"
-    ).withColumn("priority", F.lit(RULE_PRIORITY))
+    )
+    return F.broadcast(rows.withColumn("priority", F.lit(RULE_PRIORITY)))
 
 
 def _ok() -> Column:
@@ -147,8 +149,8 @@ def health_score(runs: DataFrame) -> DataFrame:
 
 
 def recommend(runs: DataFrame, rule_rows: DataFrame) -> DataFrame:
-    """Tuning rules for every run, by the kind of its query. The rules are a fixed short list."""
-    return runs.join(F.broadcast(rule_rows), "scenario_type").select(
+    """Tuning rules for every run, by the kind of its query."""
+    return runs.join(rule_rows, "scenario_type").select(
         "run_id", "scenario", "scenario_type", "executed_at", "setting", "value", "reason", "priority"
     )
 
@@ -156,7 +158,7 @@ def recommend(runs: DataFrame, rule_rows: DataFrame) -> DataFrame:
 def recent_recommendations(runs: DataFrame, rule_rows: DataFrame, last: int = 20) -> DataFrame:
     """The newest recommendations. Every run has a rule, so `last` runs suffice for them."""
     order = [F.desc("executed_at"), F.desc("run_id")]
-    known = runs.join(F.broadcast(rule_rows.select("scenario_type").distinct()), "scenario_type", "left_semi")
+    known = runs.join(rule_rows.select("scenario_type"), "scenario_type", "left_semi")
     newest = known.orderBy(*order).limit(last)
     return recommend(newest, rule_rows).orderBy(*order, "setting").limit(last)
 
@@ -176,7 +178,7 @@ def run_detail(runs: DataFrame, metrics: DataFrame, rule_rows: DataFrame) -> Dat
         "target",
         F.col("grade").alias("note"),
     )
-    advice = runs.select(*run).join(F.broadcast(rule_rows), "scenario_type").select(
+    advice = runs.select(*run).join(rule_rows, "scenario_type").select(
         *run,
         F.lit("recommendation").alias("kind"),
         F.col("setting").alias("item"),

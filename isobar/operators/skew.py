@@ -61,44 +61,50 @@ def split_hot(
     return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "pos"
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], weight: Column, name: str
 ) -> DataFrame:
-    """Row number per key under a total order, without putting a key in one task.
+    """Sum of weights up to each row under a total order, without putting a key in one task.
 
     A range shuffle on (keys, order) spreads even a single key over many
-    partitions. Rows are numbered inside each piece, and each piece gets as
-    offset the size of the pieces of the same key before it.
+    partitions. Weights are summed up inside each piece, and each piece gets as
+    offset the total of the pieces of the same key before it.
     """
     shared_dir(df.sparkSession)
     # The pieces come from sampled bounds: written once, both uses below agree.
     pieces = (
-        df.repartitionByRange(*[F.col(k) for k in keys], *order)
+        df.withColumn("_weight", weight)
+        .repartitionByRange(*[F.col(k) for k in keys], *order)
         .withColumn("_piece", F.spark_partition_id())
         .checkpoint()
     )
     group = [*keys, "_piece"]
-    sizes = pieces.groupBy(*group).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    before = before.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.groupBy(*group).agg(F.sum("_weight").alias("_size"))
+    before = Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_piece")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *group, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        *[F.col(c).alias(f"_r_{c}") for c in group],
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
     )
-    local = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    right = measured(offsets).select(
-        *[F.col(c).alias(f"_r_{c}") for c in group], "_offset"
-    )
-    rows = pieces.withColumn("_local", local)
+    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     cond = F.lit(True)
     for c in group:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
     return (
-        rows.join(right, cond)
-        .withColumn(name, F.col("_local").cast("long") + F.col("_offset"))
-        .drop("_piece", "_local", "_offset", *[f"_r_{c}" for c in group])
+        pieces.withColumn("_local", F.sum("_weight").over(inside))
+        .join(measured(offsets), cond)
+        .withColumn(name, F.col("_local") + F.col("_offset"))
+        .drop("_weight", "_piece", "_local", "_offset", *[f"_r_{c}" for c in group])
     )
 
 
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "pos"
+) -> DataFrame:
+    """Row number per key under a total order, as a running total of ones."""
+    return running_total(df, keys, order, F.lit(1).cast("long"), name)
+
+
 def in_blocks(
     df: DataFrame, pos: str, block_rows: int, halo: int
 ) -> DataFrame:

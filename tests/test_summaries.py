@@ -133,10 +133,19 @@ def test_match_region(spark):
 
 
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [3.0, 1.0, 2.0], [1.0, 1.0, 1.0, 5.0], [2.0, None, 4.0]])
-def test_exact_median(spark, values):
-    df = spark.createDataFrame([("k", v) for v in values], "k string, v double")
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_exact_median(spark, values, limit):
+    data = [("k", v) for v in values] + [(None, 7.0)]
+    df = spark.createDataFrame(data, "k string, v double")
     want = statistics.median([v for v in values if v is not None])
-    assert rows(aggregates.exact_median(df, ["k"], "v")) == [("k", want)]
+    assert rows(aggregates.exact_median(df, ["k"], "v", limit)) == [("k", want), (None, 7.0)]
+
+
+def test_exact_median_of_many_readings(spark):
+    values = [((i * 7919) % 10_007) / 8 for i in range(5000)]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v double")
+    got = aggregates.exact_median(df, ["k"], "v", 100).first()
+    assert got.median == statistics.median(values)
 
 
 def test_region_stats_forms_agree(fact, stations):
