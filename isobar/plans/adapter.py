@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from isobar.functions.columns import region_code
 from isobar.operators.skew import BROADCAST_ROWS
@@ -19,6 +20,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Schemas as the files state them; each file is asked once per process.
+_SCHEMAS: dict[str, StructType] = {}
+
 # Together these tell any two observations apart.
 TIE = ["k1", "k2", "k3"]
 DAY_ORDER = ["station_id", *TIE]
@@ -121,7 +125,11 @@ class Inputs:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        known = _SCHEMAS.get(path)
+        if known is None:
+            known = _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(known).parquet(path)
 
     def _with_place(self, df: DataFrame) -> DataFrame:
         """Nation and region of a frame with supplier columns.
