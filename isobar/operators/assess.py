@@ -33,7 +33,7 @@ RULES = [
     ("io", "spark.shuffle.compress", "true", "Compresses intermediate data between stages"),
     ("partitioning", "spark.sql.optimizer.dynamicPartitionPruning.enabled", "true", "Skips partitions found irrelevant at run time"),
     ("partitioning", "spark.sql.parquet.filterPushdown", "true", "Filters rows while files are read"),
-    ("partitioning", "spark.sql.hive.metastorePartitionPruning", "true", "Asks the catalog for matching partitions only"),
+    ("partitioning", "spark.sql.sources.partitionOverwriteMode", "dynamic", "Rewrites only the partitions a load touches"),
 ]
 RULE_PRIORITY = "high"
 

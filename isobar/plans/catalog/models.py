@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from isobar.operators import model
 from isobar.plans.adapter import DAY_ORDER, r, with_views
 from isobar.plans.catalog.base import query, rounded

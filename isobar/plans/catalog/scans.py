@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from isobar.operators import clean, ordering
-from isobar.plans.adapter import DAY_ORDER, TABLES, TIE, with_views
-from isobar.plans.catalog.base import query, rounded
+from isobar.operators.aggregates import last_groups
+from isobar.plans.adapter import DAY_ORDER, TABLES, with_views
+from isobar.plans.catalog.base import query
 from isobar.session import work_path, work_table
 from isobar.sources import files, generate, tables
 
@@ -270,8 +271,6 @@ def latest_k(t):
     ),
 )
 def last_years(t):
-    from isobar.operators.aggregates import last_groups
-
     return last_groups(t.fact.groupBy("year").agg(F.count("*").alias("n")), "year", 5)
 
 

@@ -1,11 +1,10 @@
-import datetime as dt
+import contextlib
+import io
 
 import pytest
 
 from isobar.session import local_session
 
-DAY = dt.date
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,20 +14,11 @@ def spark():
 
 
 def plan(df) -> str:
-    import contextlib
-    import io
-
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         df.explain()
     return out.getvalue()
 
 
-def final_plan(df) -> str:
-    """The plan after the runtime has adapted it."""
-    df.collect()
-    return plan(df)
-
-
 def rows(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -91,7 +91,7 @@ def test_salted_avg_of_nulls(spark):
     assert rows(skew.salted_avg(df, ["k"], "v", ["i"])) == [("a", 1, None, None)]
 
 
-def _newest_first(hot, tie=("station_id", "id")):
+def _newest_first(hot):
     data = hot.collect()
     return [r.id for r in sorted(data, key=lambda r: (-r.observation_date.toordinal(), r.station_id, r.id))]
 
