@@ -57,6 +57,32 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
+def arrow_append(
+    df: DataFrame, text_col: str, fn: Callable[[list[str]], dict[str, list]], added: str
+) -> DataFrame:
+    """All columns of a frame and what fn makes of its texts (null: empty); added gives names and types.
+
+    An added name that the frame has already raises.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    more = _parse_datatype_string(added)
+    clash = {f.name for f in more} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns there already: {sorted(clash)}")
+    types = to_arrow_schema(more)
+    place = df.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            new = fn([t or "" for t in b.column(place).to_pylist()])
+            arrays = [pa.array(new[f.name], type=f.type) for f in types]
+            yield pa.RecordBatch.from_arrays([*b.columns, *arrays], names=[*b.schema.names, *types.names])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *more.fields]))
+
+
 def spread(*cols: str, parts: int) -> Column:
     """A bucket 0 .. parts-1 from a hash of columns; a repeated task gives the same."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(parts)).cast("int")

@@ -23,11 +23,10 @@ import os
 import pickle
 import tempfile
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.base import arrow_map, id_and_text
+from isobar.llm.base import arrow_append, arrow_map, id_and_text
 
 MAP_TRIE_BYTES = 32 << 20
 REDUCE_TRIE_BYTES = 96 << 20
@@ -212,16 +211,11 @@ def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
 
 def digests(docs: DataFrame, text_col: str = "text", name: str = "digest") -> DataFrame:
     """All columns of a frame and the digest of its normalised text."""
-    kept = docs.schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{name}` binary"])
 
-    def run(batches):
-        for b in batches:
-            texts = b.column(b.schema.get_field_index(text_col))
-            out = [hashlib.sha256((t.as_py() or "").encode().lower()).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, name])
+    def digest(texts):
+        return {name: [hashlib.sha256(t.encode().lower()).digest() for t in texts]}
 
-    return docs.mapInArrow(run, schema)
+    return arrow_append(docs, text_col, digest, f"`{name}` binary")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isobar.llm import exact_dedup, packing, repair
+from isobar.llm import ann, exact_dedup, packing, repair, ring, toxicity
 from isobar.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,24 @@ def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(files)
 
 
+@_query
+def op6_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@_query
+def op7_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.assign(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query
+def op9_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
