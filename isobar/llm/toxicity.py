@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier over words is trained in numpy from confirmed toxic texts and
+A linear classifier over words and the stems of inflected words is trained in numpy from confirmed toxic texts and
 unlabelled ones. With prior π (the share of toxic rows among all labelled rows of
 the training part) the risk is
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,8 +34,7 @@ from isobar.llm.base import arrow_append, arrow_map, id_and_text
 POSITIVES = 4_000
 UNLABELLED = 12_000
 WORDS = 8_192
-# Standard errors by which a word's shares must differ; chance alone gives one word in some thousands.
-STRENGTH = 3.5
+STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -42,16 +42,34 @@ def words(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+def parts(word: str) -> list[str]:
+    """The word and its beginnings, which stand for the stems of inflected words."""
+    return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
+
+
+def features(found: Iterable[str]) -> set[str]:
+    return {x for w in found for x in parts(w)}
+
+
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = float("-inf")
+    known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def score(self, text: str) -> float:
-        get = self.weights.get
+        # Word → those of its parts that have a weight; of bounded size.
+        known, weights, seen = self.known, self.weights, set()
+        for w in words(text):
+            found = known.get(w)
+            if found is None:
+                if len(known) >= 500_000:
+                    known.clear()
+                found = known[w] = tuple(x for x in parts(w) if x in weights)
+            seen.update(found)
         # A fixed order of summing, so that equal texts score alike in every process.
-        f = self.bias + sum(sorted(w for x in words(text) if (w := get(x)) is not None))
-        return 1.0 / (1.0 + np.exp(-f)) if f > -500 else 0.0
+        f = self.bias + sum(sorted(weights[x] for x in seen))
+        return float(1.0 / (1.0 + np.exp(-f))) if f > -500 else 0.0
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -59,12 +77,12 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % 5 == 0
 
 
-def _vocabulary(toxic: list[set[str]], other: list[set[str]]) -> list[str]:
+def _vocabulary(toxic: list[list[str]], other: list[list[str]]) -> list[str]:
     """The words whose share of texts differs most, in standard errors; ties by the word."""
     a, b = Counter(), Counter()
     for texts, count in ((toxic, a), (other, b)):
         for t in texts:
-            count.update(t)
+            count.update(features(t))
     n, m = max(len(toxic), 1), max(len(other), 1)
 
     def strength(w):
@@ -73,12 +91,14 @@ def _vocabulary(toxic: list[set[str]], other: list[set[str]]) -> list[str]:
         return abs(p - q) / np.sqrt(both * (1 - both) * (1 / n + 1 / m) + 1e-12)
 
     often = {w: strength(w) for w in a.keys() | b.keys() if a[w] + b[w] >= 3}
-    return sorted((w for w, z in often.items() if z >= STRENGTH), key=lambda w: (-often[w], w))[:WORDS]
+    # What the largest of that many chance differences is expected to reach.
+    least = np.sqrt(2 * np.log(max(len(often), 2)))
+    return sorted((w for w, z in often.items() if z >= least), key=lambda w: (-often[w], w))[:WORDS]
 
 
 class _Sparse:
-    def __init__(self, texts: list[set[str]], place: dict[str, int]):
-        found = [sorted(place[w] for w in t if w in place) for t in texts]
+    def __init__(self, texts: list[list[str]], place: dict[str, int]):
+        found = [sorted(place[x] for x in features(t) if x in place) for t in texts]
         self.n, self.m = len(texts), len(place)
         self.rows = np.repeat(np.arange(self.n), [len(x) for x in found])
         self.cols = np.array([c for x in found for c in x], np.int64)
@@ -91,7 +111,7 @@ class _Sparse:
 
 
 def nonnegative_pu(
-    toxic: list[set[str]], unlabelled: list[set[str]], prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4
+    toxic: list[list[str]], unlabelled: list[list[str]], prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4
 ) -> Model:
     """Full-batch Adam on the non-negative risk."""
     if not toxic or not unlabelled:
@@ -149,15 +169,15 @@ def fit(
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(drawn), "doc_id").select("part", "text")
     found = arrow_map(texts, shorten, "part int, words string").collect()
     sets = sorted((r["part"], r["words"]) for r in found)
-    toxic = [set(x.split()) for part, x in sets if part == 1]
-    other = [set(x.split()) for part, x in sets if part == 0]
+    toxic = [x.split() for part, x in sets if part == 1]
+    other = [x.split() for part, x in sets if part == 0]
     return nonnegative_pu(toxic, other, min(float(prior), 0.99))
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
     """All columns of docs and the score of the text."""
     state = docs.sparkSession.sparkContext.broadcast(model)
-    return arrow_append(docs, text_col, lambda texts: {score: [float(state.value.score(t)) for t in texts]}, f"`{score}` double")
+    return arrow_append(docs, text_col, lambda texts: {score: [state.value.score(t) for t in texts]}, f"`{score}` double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
