@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, exact_dedup, packing, repair, ring, toxicity
+from isobar.llm import ann, exact_dedup, jaccard, packing, repair, ring, toxicity
 from isobar.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op7_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 @_query
 def op9_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
