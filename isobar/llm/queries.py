@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, exact_dedup, jaccard, packing, repair, ring, toxicity
+from isobar.llm import ann, exact_dedup, html_text, jaccard, merge_replay, packing, repair, ring, toxicity
 from isobar.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,22 @@ def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(files)
 
 
+@_query
+def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = merge_replay.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    return merge_replay.decode(encoded, ranks, pattern).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op4_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op6_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
