@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, exact_dedup, html_text, jaccard, merge_replay, packing, repair, ring, toxicity
+from isobar.llm import ann, exact_dedup, html_text, jaccard, merge_replay, packing, repair, ring, token_counts, toxicity
 from isobar.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op4_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@_query
+def op5_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op6_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
@@ -86,3 +91,14 @@ def op9_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, window=1024).drop("ids")
+
+
+def _pipeline() -> None:
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_pipeline()
