@@ -19,7 +19,6 @@ empty result. Columns besides the two named are not read.
 from __future__ import annotations
 
 import hashlib
-import os
 import pickle
 import tempfile
 
@@ -124,8 +123,7 @@ def owners_of(records, rank, limit: int):
                 trie.insert(rest, owner, rows, digest)
                 while trie.bytes > limit and trie.weight:
                     first = max(trie.weight, key=trie.weight.get)
-                    handle, _ = tempfile.mkstemp(dir=folder)
-                    files[first] = os.fdopen(handle, "w+b")
+                    files[first] = tempfile.TemporaryFile(dir=folder)
                     # What all keys of this file share so far is not kept with them.
                     head = key[:skip]
                     for k, *entry in trie.cut(first):
@@ -144,7 +142,6 @@ def _read(file):
                 yield pickle.load(file)
             except EOFError:
                 break
-        os.unlink(file.name)
 
 
 def _rank(keep: str):
