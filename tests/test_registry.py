@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from isobar.plans.catalog import QUERIES
 from tests.compare import compare, sql_engine
 from tests.conftest import plan
 
@@ -26,7 +27,7 @@ def no_python_and_no_cross_join(df):
         assert bad not in text
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     # Ten suppliers are too few for some queries to have rows; sf0.01 has them.
     found = compare(spark, con, name, FOLDER, True, no_python_and_no_cross_join)
