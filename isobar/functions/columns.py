@@ -19,9 +19,20 @@ def stable_round(c: Column | str, places: int) -> Column:
 
     A distributed sum of doubles depends on the order in which partitions
     merge. Snapping four digits below the wanted place first makes the rounded
-    figure the same for any layout.
+    figure the same for any layout. What no decimal can hold, NaN among it, gives NULL.
     """
-    return F.round(col(c).cast(f"decimal(38,{places + 4})"), places).cast("double")
+    return F.round(col(c).try_cast(f"decimal(38,{places + 4})"), places).cast("double")
+
+
+def finite(c: Column | str) -> Column:
+    """The number, or NULL where it is NaN or infinite."""
+    c = col(c)
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+
+
+def number(text: Column) -> Column:
+    """Text as a finite double; anything else, "NaN" and "Infinity" too, gives NULL."""
+    return finite(text.try_cast("double"))
 
 
 def clamp(c: Column | str, low: float, high: float) -> Column:
@@ -98,7 +109,7 @@ def json_field(text: Column | str, field: str) -> Column:
 
 def units(c: Column | str, places: int = 5) -> Column:
     """A measure as whole units of 10^-places, so that sums in frames are exact."""
-    return F.rint(col(c) * F.lit(float(10**places))).cast("long")
+    return F.rint(col(c) * F.lit(float(10**places))).try_cast("long")
 
 
 def uniform(key: Column | str, seed: int, draw: int) -> Column:

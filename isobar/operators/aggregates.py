@@ -424,7 +424,8 @@ def anomaly_by_baseline(obs: DataFrame, baselines: DataFrame) -> DataFrame:
 def monthly_summary(obs: DataFrame, from_year: int = 2020) -> DataFrame:
     rainy = F.when(F.col("precipitation") > 0, F.lit(1))
     return (
-        obs.where((F.col("year") >= from_year) & F.col("temp_mean").isNotNull())
+        year_range(obs, from_year)
+        .where(F.col("temp_mean").isNotNull())
         .groupBy("station_id", "country", "month", "year", "region")
         .agg(
             _avg("temp_mean", "avg_temperature"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.functions.columns import clamp, null_outside, parse_bool, parse_date
+from isobar.functions.columns import clamp, null_outside, number, parse_bool, parse_date
 from isobar.operators.skew import measured
 
 # Plausible ranges of the cleaning step.
@@ -49,13 +49,13 @@ def coerce_stations(raw: DataFrame) -> DataFrame:
     """Typed stations from text columns, with an `errors` array per row.
 
     Blank text is missing. Missing name, country and coordinates take defaults,
-    a missing elevation stays NULL; text that is no number is an error.
+    a missing elevation stays NULL; text that is no finite number is an error.
     """
     t = {c: _blank_to_null(c) for c in raw.columns}
 
     def bad(c):
         return F.when(
-            t[c].isNotNull() & t[c].try_cast("double").isNull(), F.lit(f"{c} is not a number")
+            t[c].isNotNull() & number(t[c]).isNull(), F.lit(f"{c} is not a number")
         )
 
     errors = F.array_compact(
@@ -71,9 +71,9 @@ def coerce_stations(raw: DataFrame) -> DataFrame:
         F.coalesce(t["station_name"], t["station_id"]).alias("station_name"),
         F.coalesce(t["country"], F.lit("Unknown")).alias("country"),
         F.coalesce(t["region"], F.lit("Unknown")).alias("region"),
-        F.coalesce(t["latitude"], F.lit("0")).try_cast("double").alias("latitude"),
-        F.coalesce(t["longitude"], F.lit("0")).try_cast("double").alias("longitude"),
-        t["elevation"].try_cast("double").alias("elevation"),
+        number(F.coalesce(t["latitude"], F.lit("0"))).alias("latitude"),
+        number(F.coalesce(t["longitude"], F.lit("0"))).alias("longitude"),
+        number(t["elevation"]).alias("elevation"),
         parse_bool("is_coastal").alias("is_coastal"),
         # A file without the column means active.
         F.when(t["is_active"].isNull(), F.lit(True))
@@ -93,7 +93,7 @@ def coerce_observations(raw: DataFrame) -> DataFrame:
     t = {c: _blank_to_null(c) for c in raw.columns}
     date = parse_date("observation_date")
     numbers = [
-        F.when(t[c].isNotNull() & t[c].try_cast("double").isNull(), F.lit(f"{c} is not a number"))
+        F.when(t[c].isNotNull() & number(t[c]).isNull(), F.lit(f"{c} is not a number"))
         for c in measures
     ]
     errors = F.array_compact(
@@ -111,7 +111,7 @@ def coerce_observations(raw: DataFrame) -> DataFrame:
         date.alias("observation_date"),
         F.coalesce(t["year"].try_cast("int"), F.year(date)).alias("year"),
         F.coalesce(t["month"].try_cast("int"), F.month(date)).alias("month"),
-        *[t[c].try_cast("double").alias(c) for c in measures],
+        *[number(t[c]).alias(c) for c in measures],
         errors.alias("errors"),
     )
 

@@ -29,19 +29,26 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def year_range(
-    obs: DataFrame, first: int = 2015, last: int = 2024, date: str | None = "observation_date"
+    obs: DataFrame,
+    first: int | None = None,
+    last: int | None = None,
+    date: str | None = "observation_date",
 ) -> DataFrame:
-    """first ≤ year ≤ last.
+    """first ≤ year ≤ last; either bound may be left out.
 
     A year computed from the date cannot be pushed to the files, a date range
     can; `date` adds the implied range (give None if year and date may differ).
     """
-    cond = F.col("year").between(first, last)
-    if date:
-        cond = cond & F.col(date).between(
-            F.lit(dt.date(first, 1, 1)), F.lit(dt.date(last, 12, 31))
-        )
-    return obs.where(cond)
+    dated = date in obs.columns
+    if first is not None:
+        obs = obs.where(F.col("year") >= first)
+        if dated:
+            obs = obs.where(F.col(date) >= F.lit(dt.date(first, 1, 1)))
+    if last is not None:
+        obs = obs.where(F.col("year") <= last)
+        if dated:
+            obs = obs.where(F.col(date) <= F.lit(dt.date(last, 12, 31)))
+    return obs
 
 
 def date_range(
@@ -77,6 +84,11 @@ def by_spec(obs: DataFrame, spec: Mapping[str, object]) -> DataFrame:
         lookup = lookup or "exact"
         if lookup not in FILTER_FIELDS.get(field, ()):
             raise ValueError(f"cannot filter by {name}")
+        if field == "year":
+            # The same bound on the date reaches the files.
+            first = value if lookup in ("exact", "gte") else None
+            obs = year_range(obs, first, value if lookup in ("exact", "lte") else None)
+            continue
         conds.append(tests[lookup](F.col(field), F.lit(value)))
     return obs.where(reduce(and_, conds)) if conds else obs
 

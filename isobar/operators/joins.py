@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.functions.columns import month_cos, month_sin, region_code
+from isobar.operators.filters import year_range
 from isobar.operators.skew import BROADCAST_ROWS
 
 
@@ -101,6 +102,11 @@ def enrich(obs: DataFrame, stations: DataFrame, baselines: DataFrame) -> DataFra
     )
 
 
+def _product(a: str, b: str) -> Column:
+    """Number of pairs, as decimal(38,0): two counts of some billions exceed a BIGINT."""
+    return (F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def rain_vs_salinity(
     climate: DataFrame, ocean: DataFrame, min_rain: float = 100.0, max_salinity: float = 33.0
 ) -> DataFrame:
@@ -133,7 +139,7 @@ def rain_vs_salinity(
         .select(
             "region",
             "date",
-            (F.col("c_n") * F.col("o_n")).alias("pairs"),
+            _product("c_n", "o_n").alias("pairs"),
             "avg_rainfall",
             "max_rainfall",
             "avg_salinity",
@@ -150,14 +156,14 @@ def fact_by_fact(left: DataFrame, right: DataFrame, from_year: int = 2020) -> Da
     sums over those pairs follow from each side's own sums, so every side is
     aggregated once and one row per station is joined.
     """
-    a = left.where(F.col("year") >= from_year)
+    a = year_range(left, from_year)
     a = partial_sums(a, ["station_id"], {"temp": "temp_mean"})
     b = partial_sums(right, ["station_id"], {"rain": "precipitation"})
     a = a.withColumnRenamed("rows", "a_rows")
     b = b.withColumnRenamed("rows", "b_rows")
     return a.join(b, "station_id").select(
         "station_id",
-        (F.col("a_rows") * F.col("b_rows")).alias("pairs"),
+        _product("a_rows", "b_rows").alias("pairs"),
         (F.col("temp_sum") * F.col("b_rows")).alias("sum_temp"),
         (F.col("rain_sum") * F.col("a_rows")).alias("sum_precip"),
         F.try_divide("temp_sum", "temp_n").alias("avg_temp"),

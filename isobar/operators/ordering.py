@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from isobar.operators.skew import GROUP_ROWS, numbered
 
-# Up to this many rows every task may keep its own candidates for a top-k.
+# Up to this many rows one task may receive for a top-k or page.
 HEAP_ROWS = 10_000
 
 
@@ -34,21 +34,31 @@ def _day_counts(df: DataFrame, date: str) -> DataFrame:
 
 
 def newest(
-    df: DataFrame, k: int, tie: Sequence[str], date: str = "observation_date"
+    df: DataFrame,
+    k: int,
+    tie: Sequence[str],
+    date: str = "observation_date",
+    max_day_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """The k newest rows under a total order (date descending, then tie).
 
-    A small k is kept as a heap by every task. For a large one that would ship
-    k rows per task, so the day of the k-th row is found from day counts and
-    only rows from that day on are sorted; the bound reaches the file scan.
+    Every task's heap would ship k rows to one task, however many tasks there
+    are. So the day of the k-th row is found from day counts; the bound reaches
+    the file scan, and only rows from that day on are sorted. If those are still
+    many, one heavy day say, they are numbered by a range shuffle instead.
     """
     order = [F.col(date).desc_nulls_last(), *[F.col(c) for c in tie]]
-    if k > HEAP_ROWS:
-        reach = _day_counts(df, date).where((F.col("_newer") < k) & F.col("_day").isNotNull())
-        cut = reach.agg(F.min("_day"), F.sum("_n")).first()
-        if cut[0] is not None and cut[1] >= k:
-            df = df.where(F.col(date) >= F.lit(cut[0]))
-    return df.orderBy(*order).limit(k)
+    reach = _day_counts(df, date).where(F.col("_newer") < k)
+    cut = reach.agg(
+        F.min("_day").alias("first"), F.sum("_n").alias("rows"), F.count_if(F.col("_day").isNull()).alias("undated")
+    ).first()
+    if cut["rows"] is None:
+        return df.where(F.lit(False))
+    if not cut["undated"]:
+        df = df.where(F.col(date) >= F.lit(cut["first"]))
+    if cut["rows"] <= max_day_rows:
+        return df.orderBy(*order).limit(k)
+    return numbered(df, [], order, "_pos").where(F.col("_pos") <= k).drop("_pos").orderBy(*order)
 
 
 def page(
@@ -106,8 +116,8 @@ def page_by(df: DataFrame, order: Sequence[Column], number: int = 1, size: int =
 
 def split_by_time(
     df: DataFrame,
-    fraction: float = 0.8,
-    tie: Sequence[str] = (),
+    fraction: float,
+    tie: Sequence[str],
     date: str = "observation_date",
     max_day_rows: int = GROUP_ROWS,
 ) -> DataFrame:
@@ -132,11 +142,13 @@ def split_by_time(
         newer = F.coalesce(F.col(date) > F.lit(cut["_day"]), F.lit(False))
     rest = df.where(~is_cut).withColumn("split", F.when(newer, "train").otherwise("test"))
     day = df.where(is_cut)
+    if not tie:
+        raise ValueError("a split needs `tie` columns that tell rows of a day apart")
     order = [F.col(c) for c in tie]
-    if cut["_n"] > max_day_rows and order:
+    if cut["_n"] > max_day_rows:
         day = numbered(day, [], order, "_pos")
     else:
-        w = Window.partitionBy(date).orderBy(*(order or [F.col(date)]))
+        w = Window.partitionBy(date).orderBy(*order)
         day = day.withColumn("_pos", F.row_number().over(w))
     day = day.withColumn(
         "split", F.when(F.col("_pos") <= cut["_take"], "train").otherwise("test")

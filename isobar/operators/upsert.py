@@ -24,7 +24,7 @@ def merge_flagged(
 ) -> DataFrame:
     """Target and incoming merged by key, each row with its `action`.
 
-    Keys must be unique on both sides. An incoming row overwrites the update
+    Keys must be unique on both sides; NULL is a key like any other. An incoming row overwrites the update
     columns, with NULLs too; presence is a flag, not the value. Columns missing
     in the incoming rows keep the target's value.
     """
@@ -38,7 +38,7 @@ def merge_flagged(
     )
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(f"_t_{k}") == F.col(k))
+        cond = cond & F.col(f"_t_{k}").eqNullSafe(F.col(k))
     both = t.join(i, cond, "full_outer")
     action = (
         F.when(F.col("_t") & F.col("_i"), F.lit("updated"))

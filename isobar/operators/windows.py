@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from isobar.functions.columns import stable_round, units
+from isobar.operators.filters import year_range
 from isobar.operators.skew import GROUP_ROWS, in_blocks, numbered, split_hot
 
 SCALE = 5
@@ -47,7 +48,7 @@ def sst_anomaly(
     one shuffle; stations above `max_group_rows` are numbered by a range
     shuffle and cut into blocks that carry the `back` rows before them.
     """
-    rows = fact.where(F.col("sea_surface_temp").isNotNull() & (F.col("year") >= from_year)).select(
+    rows = year_range(fact, from_year).where(F.col("sea_surface_temp").isNotNull()).select(
         "station_id", "observation_date", "sea_surface_temp", *tie, *keep
     )
     order = [F.col("observation_date"), *[F.col(c) for c in tie]]

@@ -243,14 +243,19 @@ def ocean_month(t):
         "stations fact regions",
         """
   SELECT name, code, count(DISTINCT s.station_id) AS station_count, count(f.k1) AS observation_count
-  FROM regions LEFT JOIN (SELECT * FROM stations WHERE region <> 'ASIA') s ON name = s.region
+  FROM (SELECT name, code FROM regions UNION ALL SELECT n_name, upper(substr(n_name, 1, 10)) FROM nation) r
+       LEFT JOIN stations s ON name = s.region
        LEFT JOIN fact f ON s.station_id = f.station_id
   GROUP BY name, code""",
     ),
 )
 def regions_overview(t):
-    """One region is left without stations to show its zero."""
-    return A.regions_overview(t.regions, t.stations.where("region <> 'ASIA'"), t.fact)
+    """All regions; nations stand for regions without stations."""
+    empty = t.table("nation").select(
+        F.col("n_name").alias("name"), F.upper(F.substring("n_name", 1, 10)).alias("code"),
+        F.lit(None).cast("string").alias("description"),
+    )
+    return A.regions_overview(t.regions.unionByName(empty), t.stations, t.fact)
 
 
 @query(

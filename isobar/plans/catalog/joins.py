@@ -78,7 +78,7 @@ def enrich_obs(t):
     with_views(
         "obs",
         f"""
-  SELECT c.region, c.observation_date AS date, count(*) AS pairs,
+  SELECT c.region, c.observation_date AS date, CAST(count(*) AS DECIMAL(38, 0)) AS pairs,
          {r('avg(c.precipitation)', 6)} AS avg_rainfall, max(c.precipitation) AS max_rainfall,
          {r('avg(o.ocean_salinity)', 6)} AS avg_salinity, min(o.ocean_salinity) AS min_salinity
   FROM obs c JOIN obs o ON c.observation_date = o.observation_date AND c.region = o.region
@@ -102,7 +102,7 @@ def rain_vs_salinity(t):
     with_views(
         "fact",
         f"""
-  SELECT a.station_id, count(*) AS pairs, {r('sum(a.temp_mean)', 1)} AS sum_temp,
+  SELECT a.station_id, CAST(count(*) AS DECIMAL(38, 0)) AS pairs, {r('sum(a.temp_mean)', 1)} AS sum_temp,
          {r('sum(b.precipitation)', 1)} AS sum_precip,
          {r('avg(a.temp_mean)', 4)} AS avg_temp, {r('avg(b.precipitation)', 4)} AS avg_precip
   FROM fact a JOIN fact b ON a.station_id = b.station_id
@@ -172,14 +172,17 @@ def obs_with_station(t):
         "stations fact",
         """
   SELECT s.station_id, s.country, count(f.k1) AS observation_count
-  FROM stations s LEFT JOIN (SELECT * FROM fact WHERE year = 1995 AND month = 1) f ON s.station_id = f.station_id
+  FROM (SELECT station_id, country FROM stations UNION ALL SELECT -c_custkey, CAST(NULL AS VARCHAR) FROM customer) s
+       LEFT JOIN fact f ON s.station_id = f.station_id
   GROUP BY s.station_id, s.country""",
     ),
 )
 def station_obs_count(t):
-    """Observations of one month per station, zeros kept."""
-    january = t.fact.where((F.col("year") == 1995) & (F.col("month") == 1))
-    return joins.station_counts(t.stations.select("station_id", "country"), january)
+    """Observations per station; customers stand for stations that have none."""
+    silent = t.table("customer").select(
+        (-F.col("c_custkey")).alias("station_id"), F.lit(None).cast("string").alias("country")
+    )
+    return joins.station_counts(t.plain_stations.select("station_id", "country").unionByName(silent), t.fact)
 
 
 @query(

@@ -8,6 +8,7 @@ from isobar.operators import clean, ordering
 from isobar.operators.aggregates import last_groups
 from isobar.plans.adapter import DAY_ORDER, TABLES, with_views
 from isobar.plans.catalog.base import query
+from isobar.schemas import MEASURES
 from isobar.session import work_path, work_table
 from isobar.sources import files, generate, tables
 
@@ -63,26 +64,41 @@ def csv_coerce(t):
     return typed.withColumn("n_errors", F.size("errors")).drop("errors")
 
 
-@query(
-    "export_obs",
-    with_views(
-        "obs",
-        f"""
+EXPORT_SQL = """
   SELECT station_id AS "Station ID", station_name AS "Station Name", country AS "Country",
          region AS "Region", observation_date AS "Date", temp_max AS "Temp Max",
          temp_min AS "Temp Min", temp_mean AS "Temp Mean", precipitation AS "Precipitation",
          humidity AS "Humidity", sea_surface_temp AS "SST", ocean_salinity AS "Salinity"
-  FROM obs ORDER BY {ORDER_SQL} LIMIT 1000""",
-    ),
-)
-def export_obs(t):
+  FROM obs"""
+
+
+def _exported(t, rows):
     """Written as CSV by the exporter's writer and read back."""
-    rows = files.export_rows(t.obs, DAY_ORDER)
     path = work_path(t.spark, "export")
     files.export(rows, path, "csv")
     return t.spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
+@query(
+    "export_obs",
+    with_views(
+        "obs",
+        f"{EXPORT_SQL} WHERE year >= 1996 AND region IN (SELECT min(region) FROM obs) ORDER BY {ORDER_SQL} LIMIT 1000",
+    ),
+)
+def export_obs(t):
+    """The newest thousand rows that a filter spec lets through, as the export page gives them."""
+    region = t.stations.agg(F.min("region")).first()[0]
+    spec = {"year__gte": 1996, "region": region}
+    return _exported(t, files.export_rows(t.obs, spec, 1000, DAY_ORDER))
+
+
+@query("export_all", with_views("obs", EXPORT_SQL))
+def export_all(t):
+    """Every row, no limit."""
+    return _exported(t, files.export_rows(t.obs))
+
+
 SQL_TEXT = """
   SELECT o_orderpriority, count(*) AS n, CAST(round(CAST(sum(o_totalprice) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total
   FROM {orders} GROUP BY o_orderpriority"""
@@ -93,7 +109,9 @@ def sql_to_df(t):
     return files.run_sql(t.spark, SQL_TEXT, orders=t.table("orders"))
 
 
-STATS_COLUMNS = ["k1", "station_id", "year", "month", "temp_mean", "precipitation", "sea_surface_temp"]
+# Columns with a range in the catalog's statistics, and those without: text and dates.
+STATS_COLUMNS = ["k1", "k2", "k3", "station_id", "year", "month", *MEASURES]
+STATS_OTHERS = ["observation_date", "data_quality"]
 
 
 @query(
@@ -105,13 +123,16 @@ STATS_COLUMNS = ["k1", "station_id", "year", "month", "temp_mean", "precipitatio
             f"count(*) - count({c}) AS null_count, CAST(min({c}) AS DOUBLE) AS min_value, "
             f"CAST(max({c}) AS DOUBLE) AS max_value FROM fact"
             for c in STATS_COLUMNS
+        )
+        + "".join(
+            f" UNION ALL SELECT '{c}', count(*), count(*) - count({c}), NULL, NULL FROM fact" for c in STATS_OTHERS
         ),
     ),
 )
 def table_stats(t):
     """Statistics the catalog holds after ANALYZE of a table with all observations."""
     name = work_table("isobar_stats")
-    rows = t.fact.select(*STATS_COLUMNS)
+    rows = t.fact.select(*STATS_COLUMNS, *STATS_OTHERS)
     tables.load_table(rows, name, path=work_path(t.spark, "stats"))
     return tables.table_stats(t.spark, name).drop("distinct_estimate")
 
@@ -126,9 +147,38 @@ def table_counts(t):
     return tables.table_counts({n: t.table(n) for n in TABLES})
 
 
-@query("storage_report")
+@query(
+    "storage_report",
+    with_views(
+        "obs",
+        " UNION ALL ".join(
+            f"SELECT '{f}' AS format, count(*) AS rows, CAST(round(CAST(sum(temp_mean) AS DECIMAL(38,6)), 2) AS DOUBLE) AS temp_total, "
+            "count(precipitation) AS with_precipitation, CAST(sum(k1) AS BIGINT) AS keys_total, true AS has_bytes FROM obs"
+            for f in tables.STORAGE_FORMATS
+        ),
+    ),
+)
 def storage_report(t):
-    return tables.storage_report(t.obs, work_path(t.spark, "storage"))
+    """Every format of the report read back; the sizes themselves are tested apart."""
+    path = work_path(t.spark, "storage")
+    sizes = tables.storage_report(t.obs, path).select("format", (F.col("bytes") > 0).alias("has_bytes"))
+    return tables.storage_contents(t.spark, path, t.obs.schema).join(sizes, "format")
+
+
+@query(
+    "external_scan",
+    with_views("stations", "SELECT station_id, station_name, country, latitude, true AS files_stay FROM stations"),
+)
+def external_scan(t):
+    """A catalog table over delimited files; dropped again, the files stay."""
+    rows = t.plain_stations.select("station_id", "station_name", "country", "latitude")
+    path, name = work_path(t.spark, "external"), work_table("isobar_external")
+    rows.write.option("header", True).csv(path)
+    kept = files.external_table(t.spark, name, rows.schema, path)
+    seen = kept.count()
+    t.spark.sql(f"DROP TABLE {name}")
+    back = files.read_csv(t.spark, path, rows.schema)
+    return back.withColumn("files_stay", F.lit(seen == back.count()))
 
 
 # -- generators: the same digests taken in SQL -------------------------------

@@ -61,7 +61,10 @@ def sync_stations(obs: DataFrame, target: DataFrame, regions: DataFrame) -> Stat
     A region text that matches neither name nor code becomes a new region.
     """
     found = stations_distinct(obs).withColumnRenamed("region", "region_text")
-    found = first_per_key(found, ["station_id"], [F.col("station_name"), F.col("region_text")])
+    # Coastal if ever a sea reading, under whichever attributes.
+    coastal = found.groupBy("station_id").agg(F.max("is_coastal").alias("is_coastal"))
+    found = first_per_key(found.drop("is_coastal"), ["station_id"], [F.col("station_name"), F.col("region_text")])
+    found = found.join(coastal, "station_id")
     matched = match_region(found, regions)
     unknown = matched.where(F.col("region_code").isNull())
     new_regions = (
@@ -118,13 +121,20 @@ def sync_observations(
     start=None,
     end=None,
     limit: int | None = None,
-    tie: Sequence[str] = ("station_id",),
+    tie: Sequence[str] = (),
 ) -> ObservationSync:
-    """Observations merged by (station, date); those of unknown stations are skipped."""
+    """Observations merged by (station, date); those of unknown stations or without a date are skipped.
+
+    A limit takes the newest rows; (date, tie) must then be a total order.
+    """
     rows = date_range(source, start, end)
-    if limit:
+    if limit is not None:
+        if not tie:
+            raise ValueError("a limit needs `tie` columns that tell rows of a day apart")
         rows = newest(rows, limit, tie)
     known, skipped = split_known(rows, stations)
+    skipped = skipped.unionByName(known.where(F.col("observation_date").isNull()))
+    known = known.where(F.col("observation_date").isNotNull())
     known = first_per_key(known, OBSERVATION_KEY, order)
     return ObservationSync(
         merge_flagged(target, known, OBSERVATION_KEY, schemas.MEASURES), skipped
@@ -210,15 +220,12 @@ def load_observation_text(
     target: DataFrame,
     order: Sequence[Column],
     schema=schemas.OBSERVATIONS,
-    limit: int | None = None,
 ) -> DataFrame:
     """Read a delimited file as text and classify its rows.
 
     The coerced rows are staged as Parquet, so the text is parsed once.
     """
     raw = read_text_columns(spark, path, schema)
-    if limit:
-        raw = raw.limit(limit)
     stage = work_path(spark, "coerced")
     coerce_observations(raw).write.parquet(stage)
     return classify_observations(spark.read.parquet(stage), stations, target, order)

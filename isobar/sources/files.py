@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from isobar import schemas
+from isobar.functions.columns import finite
+from isobar.operators.filters import by_spec
+from isobar.operators.ordering import newest
 
 # Header of the observation export.
 EXPORT_COLUMNS = {
@@ -28,14 +31,23 @@ EXPORT_COLUMNS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Typed scan with one header line; fields bind by position, extras are dropped."""
-    return (
+    """Typed scan with one header line; fields bind by position, extras are dropped.
+
+    NaN and infinite readings are missing ones.
+    """
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    return _finite(rows)
+
+
+def _finite(rows: DataFrame) -> DataFrame:
+    doubles = [c for c, kind in rows.dtypes if kind == "double"]
+    return rows.withColumns({c: finite(c) for c in doubles}) if doubles else rows
 
 
 def read_csv_checked(
@@ -43,13 +55,14 @@ def read_csv_checked(
 ) -> DataFrame:
     """As read_csv, keeping the text of lines that did not parse in `bad_line`."""
     full = StructType([*schema.fields, StructField(bad_line, StringType(), True)])
-    return (
+    rows = (
         spark.read.schema(full)
         .option("header", True)
         .option("enforceSchema", True)
         .option("columnNameOfCorruptRecord", bad_line)
         .csv(path)
     )
+    return _finite(rows)
 
 
 def read_text_columns(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -59,12 +72,9 @@ def read_text_columns(spark: SparkSession, path: str, schema: StructType) -> Dat
 
 def external_table(spark: SparkSession, name: str, schema: StructType, path: str) -> DataFrame:
     """A catalog table over existing files; dropping it keeps the files."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING csv "
-        f"OPTIONS (header 'true', enforceSchema 'true') LOCATION '{path}'"
+    return spark.catalog.createTable(
+        name, path, source="csv", schema=schema, header="true", enforceSchema="true"
     )
-    return spark.table(name)
 
 
 def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
@@ -72,14 +82,22 @@ def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(text, **frames)
 
 
-def export_rows(obs: DataFrame, tie: Sequence[str] = ("station_id",), cap: int = 1000) -> DataFrame:
-    """The newest `cap` rows with the export's column names."""
-    order = [F.col("observation_date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]]
-    return (
-        obs.orderBy(*order)
-        .limit(cap)
-        .select(*[F.col(c).alias(a) for c, a in EXPORT_COLUMNS.items()])
-    )
+def export_rows(
+    obs: DataFrame,
+    spec: Mapping[str, object] | None = None,
+    cap: int | None = None,
+    tie: Sequence[str] = (),
+) -> DataFrame:
+    """The rows a filter spec lets through, with the export's column names.
+
+    All of them, or the newest `cap` under (date, tie), which must be a total order.
+    """
+    rows = by_spec(obs, spec or {})
+    if cap is not None:
+        if not tie:
+            raise ValueError("a capped export needs `tie` columns that tell rows of a day apart")
+        rows = newest(rows, cap, tie)
+    return rows.select(*[F.col(c).alias(a) for c, a in EXPORT_COLUMNS.items()])
 
 
 def export(df: DataFrame, path: str, fmt: str = "json") -> None:

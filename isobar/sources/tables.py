@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, NumericType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from isobar.functions.columns import stable_round
 from isobar.operators.skew import GROUP_ROWS, split_hot
 
+MAX_BUCKETS = 65_536
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -26,9 +29,14 @@ def buckets_for(rows: int, groups: int = 1, rows_per_bucket: int = 2_000_000) ->
     """Number of buckets, a power of two, so that a bucket is a fair task.
 
     A fixed number makes tiny files of a small table and huge tasks of a large one.
+    Spark takes MAX_BUCKETS at most; a table that needs more is refused, since its
+    buckets would be no fair tasks: partition it further or leave it unbucketed.
     """
     wanted = max(1, rows // max(1, groups) // rows_per_bucket)
-    return min(1 << (wanted - 1).bit_length(), 65_536)
+    buckets = 1 << (wanted - 1).bit_length()
+    if buckets > MAX_BUCKETS:
+        raise ValueError(f"{rows} rows in {groups} groups need {buckets} buckets; the limit is {MAX_BUCKETS}")
+    return buckets
 
 
 def load_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
@@ -92,7 +100,7 @@ def read_partitions(spark: SparkSession, name: str, **wanted) -> DataFrame:
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace only those partitions of the table that occur in the frame."""
     spark = df.sparkSession
-    rows = df.select(*spark.table(name).columns)
+    rows = _gathered(df, name)
     # insertInto takes the mode from the session, not from a write option.
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")
@@ -103,7 +111,31 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
 
 
 def append_rows(df: DataFrame, name: str) -> None:
-    df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+    _gathered(df, name).write.mode("append").insertInto(name)
+
+
+def bucket_spec(spark: SparkSession, name: str) -> tuple[int, str] | None:
+    """(number of buckets, key) of a bucketed table."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "Num Buckets" not in said:
+        return None
+    return int(said["Num Buckets"]), said["Bucket Columns"].strip("[]`")
+
+
+def _gathered(df: DataFrame, name: str) -> DataFrame:
+    """Rows in the table's columns, brought together by partition and bucket.
+
+    Each task would otherwise write a file for every partition and bucket it holds.
+    The runtime splits groups that are too large for one task.
+    """
+    spark = df.sparkSession
+    cols = spark.table(name).columns
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    spec = bucket_spec(spark, name)
+    if spec:
+        df = df.withColumn("_bucket", F.pmod(F.hash(spec[1]), F.lit(spec[0])))
+        by.append("_bucket")
+    return (df.hint("rebalance", *by) if by else df).select(*cols)
 
 
 def bucketed_pair(
@@ -158,7 +190,10 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
         r["col_name"]: r["data_type"]
         for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     }
-    row_count = int(info["Statistics"].split("bytes, ")[1].split(" rows")[0])
+    said = re.fullmatch(r"\d+ bytes, (\d+) rows", info.get("Statistics", ""))
+    if not said:
+        raise RuntimeError(f"no row count in the statistics of {name}: {info.get('Statistics')}")
+    row_count = int(said[1])
     rows = []
     for field in spark.table(name).schema.fields:
         detail = {
@@ -170,13 +205,17 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
             text = detail.get(label)
             return None if text in (None, "NULL") else float(text)
 
+        def whole(label: str) -> int | None:
+            value = number(label)
+            return None if value is None else int(value)
+
         numeric = isinstance(field.dataType, NumericType)
         rows.append(
             (
                 field.name,
                 row_count,
-                int(number("num_nulls") or 0),
-                int(number("distinct_count") or 0),
+                whole("num_nulls"),
+                whole("distinct_count"),
                 number("min") if numeric else None,
                 number("max") if numeric else None,
             )
@@ -194,6 +233,27 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+STORAGE_FORMATS = ("text", "text_gzip", "orc", "parquet")
+
+
+def storage_contents(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """What storage_report wrote, read back: rows and totals of every format."""
+    parts = []
+    for name in STORAGE_FORMATS:
+        kind = name if name in ("orc", "parquet") else "csv"
+        rows = spark.read.schema(schema).format(kind).option("header", True).load(f"{folder}/{name}")
+        parts.append(
+            rows.agg(
+                F.lit(name).alias("format"),
+                F.count("*").alias("rows"),
+                stable_round(F.sum("temp_mean"), 2).alias("temp_total"),
+                F.count("precipitation").alias("with_precipitation"),
+                F.sum("k1").alias("keys_total"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def storage_report(df: DataFrame, folder: str) -> DataFrame:
     """Write the frame as text, gzip text, ORC and Parquet; bytes and share of text."""
     spark = df.sparkSession

@@ -63,7 +63,7 @@ def compare(spark, con, name: str, folder: str, allow_empty: bool = False, look=
         k = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
              "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}.get(
             kinds.get(d[0], ""), "?")
-        if str(d[1]).upper() not in (k, {"INTEGER": "INT32"}.get(k, k)) and "NUMBER" not in str(d[1]).upper() \
+        if str(d[1]).upper() not in (k, kinds.get(d[0], "").upper(), {"INTEGER": "INT32"}.get(k, k)) and "NUMBER" not in str(d[1]).upper() \
                 and "STRING" not in str(d[1]).upper():
             out.append(f"type of {d[0]}: {kinds.get(d[0])} / {d[1]}")
     return out
