@@ -10,18 +10,28 @@ from pyspark.sql.window import Window
 
 from isobar.session import shared_dir
 
-# Rows a broadcast side may have: about 20 MB at 100 bytes per row.
+# What a broadcast side may have: rows, and bytes of its columns.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 # Rows one window group may have before it is split into blocks.
 GROUP_ROWS = 5_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side joins by shuffle.
+    """Hint a broadcast only after measuring; a larger side joins by shuffle.
 
-    Meant for dimension tables, where the count is answered by file footers.
+    Meant for dimension tables, where the count is answered by file footers; texts of
+    those that pass are measured too.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    rows = df.count()
+    if rows > max_rows:
+        return df
+    texts = [c for c, kind in df.dtypes if kind in ("string", "binary")]
+    held = 8 * rows * len(df.columns)
+    if texts:
+        size = F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts[1:]), F.coalesce(F.octet_length(texts[0]), F.lit(0))))
+        held += df.agg(size).first()[0] or 0
+    return F.broadcast(df) if held <= BROADCAST_BYTES else df
 
 
 def measured(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -356,10 +356,78 @@ def new_regions(t):
     ),
 )
 def full_sync(t):
-    """Counts per entity when regions, stations and observations are synced in turn."""
-    return sync.full_sync(
-        _region_sides(t), _station_target(t), _target(t), t.obs.where("k2 >= 3"), _order()
+    """Counts per entity when regions, stations and observations are synced into their tables."""
+    names, regions = _sync_tables(t)
+    return sync.publish_sync(t.spark, names, regions, t.obs.where("k2 >= 3"), _order())
+
+
+def _sync_tables(t):
+    """Published tables as they are before a sync, and the regions that arrive."""
+    names = sync.SyncTables(*(work_table(f"isobar_sync_{k}") for k in ("regions", "stations", "observations", "log")))
+    old, regions = _region_sides(t)
+    tables.load_table(old, names.regions, path=work_path(t.spark, "sync-regions"))
+    tables.load_table(_station_target(t), names.stations, path=work_path(t.spark, "sync-stations"))
+    tables.write_warehouse(
+        _target(t), names.observations, ("year",), None, path=work_path(t.spark, "sync-observations"), fmt="parquet"
     )
+    return names, regions
+
+
+def _synced_twice(t):
+    names, regions = _sync_tables(t)
+    for _ in range(2):
+        sync.publish_sync(t.spark, names, regions, t.obs.where("k2 >= 3"), _order())
+    return names
+
+
+ALL_SIDES = SIDES.replace("station_id IN (SELECT station_id FROM stations WHERE is_active)", "true")
+
+
+@query(
+    "sync_rows",
+    with_views("stations fact", f"WITH {ALL_SIDES} SELECT {_merge_select()} {FULL_JOIN}"),
+)
+def sync_rows(t):
+    """The observation table after the same sync ran twice: the second one changes nothing."""
+    return t.spark.table(_synced_twice(t).observations).select(*MERGED)
+
+
+@query(
+    "load_log",
+    with_views(
+        "stations fact regions",
+        f"""WITH {ALL_SIDES}, merged AS (SELECT {ACTION_SQL} {FULL_JOIN}),
+       n AS (SELECT (SELECT count(*) FROM nation) AS nations, (SELECT count(*) FROM regions) AS regions,
+                    (SELECT count(*) FROM incoming) AS arrived, (SELECT count(*) FROM merged WHERE action = 'created') AS fresh,
+                    (SELECT count(*) FROM stations WHERE station_id IN (SELECT station_id FROM fact WHERE k2 >= 3)) AS seen,
+                    (SELECT count(*) FROM stations WHERE is_active AND station_id IN (SELECT station_id FROM fact WHERE k2 >= 3)) AS added)
+  SELECT 'regions' AS entity, 'completed' AS status, CAST(2 AS BIGINT) AS runs, nations AS created, 2 * regions + nations AS updated FROM n
+  UNION ALL SELECT 'stations', 'completed', 2, added, 2 * seen - added FROM n
+  UNION ALL SELECT 'observations', 'completed', 2, fresh, 2 * arrived - fresh FROM n""",
+    ),
+)
+def load_log(t):
+    """What the log holds after the same sync ran twice."""
+    log = t.spark.table(_synced_twice(t).log)
+    return log.groupBy("entity", "status").agg(
+        F.count("*").alias("runs"), F.sum("created").alias("created"), F.sum("updated").alias("updated")
+    )
+
+
+@query(
+    "station_rejects",
+    with_views(
+        "stations",
+        "SELECT CAST(station_id AS VARCHAR) AS station_id, 'latitude is not a number' AS error FROM stations WHERE station_id % 11 = 0",
+    ),
+)
+def station_rejects(t):
+    """Rows of the station file that were refused, with the reasons."""
+    path = work_path(t.spark, "csv")
+    station_text(t).write.option("header", True).csv(path)
+    target = _station_target(t).withColumn("station_id", F.col("station_id").cast("string"))
+    _, rejects = sync.load_station_text(t.spark, path, target, t.regions)
+    return rejects.select("station_id", F.explode("errors").alias("error"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,8 +16,9 @@ from isobar.operators.clean import coerce_observations, coerce_stations, split_r
 from isobar.operators.filters import date_range
 from isobar.operators.joins import match_region, split_known
 from isobar.operators.ordering import newest, union_all
-from isobar.operators.upsert import action_counts, defaults, first_per_key, merge_flagged
+from isobar.operators.upsert import action_counts, defaults, first_per_key, log_load, merge_flagged, upsert_table
 from isobar.session import work_path
+from isobar.sources import tables
 from isobar.sources.files import read_text_columns
 
 OBSERVATION_KEY = ["station_id", "observation_date"]
@@ -113,6 +115,13 @@ class ObservationSync:
     skipped: DataFrame
 
 
+def known_observations(rows: DataFrame, stations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of known stations with a date, all others)."""
+    known, skipped = split_known(rows, stations)
+    dated = F.col("observation_date").isNotNull()
+    return known.where(dated), skipped.unionByName(known.where(~dated))
+
+
 def sync_observations(
     source: DataFrame,
     target: DataFrame,
@@ -132,9 +141,7 @@ def sync_observations(
         if not tie:
             raise ValueError("a limit needs `tie` columns that tell rows of a day apart")
         rows = newest(rows, limit, tie)
-    known, skipped = split_known(rows, stations)
-    skipped = skipped.unionByName(known.where(F.col("observation_date").isNull()))
-    known = known.where(F.col("observation_date").isNotNull())
+    known, skipped = known_observations(rows, stations)
     known = first_per_key(known, OBSERVATION_KEY, order)
     return ObservationSync(
         merge_flagged(target, known, OBSERVATION_KEY, schemas.MEASURES), skipped
@@ -182,6 +189,56 @@ def full_sync(
     )
 
 
+@dataclass
+class SyncTables:
+    """Catalog names of what a sync keeps up to date; the log is made when missing."""
+
+    regions: str
+    stations: str
+    observations: str
+    log: str
+
+
+def publish_sync(
+    spark: SparkSession,
+    names: SyncTables,
+    regions: DataFrame,
+    source: DataFrame,
+    order: Sequence[Column],
+    rejects: DataFrame | None = None,
+    parts: Sequence[str] = ("year",),
+) -> DataFrame:
+    """Regions, stations and observations merged into their tables; gives the counts, which the log gets too.
+
+    Region texts that match no region become regions of their own before the stations
+    that name them are published. Observations rewrite touched partitions only; `parts`
+    must follow from the key. `rejects` are rows a loader refused, counted as errors.
+    """
+    start = dt.datetime.now()
+    merged = _staged(sync_regions(spark.table(names.regions), regions), "regions")
+    found = sync_stations(source, spark.table(names.stations), merged.drop("action"))
+    made = found.new_regions.withColumn("action", F.lit("created"))
+    merged = _staged(merged.unionByName(made), "regions")
+    stations = _staged(found.stations, "stations")
+    tables.load_table(merged.drop("action"), names.regions)
+    tables.load_table(stations.drop("action"), names.stations)
+
+    known, skipped = known_observations(source, stations)
+    target = spark.table(names.observations)
+    # The order may name columns that the table does not have.
+    known = first_per_key(known, OBSERVATION_KEY, order).select(*target.columns)
+    written = upsert_table(spark, names.observations, known, OBSERVATION_KEY, schemas.MEASURES, parts)
+    lost = skipped.agg(F.count("*")).first()[0]
+    refused = rejects.agg(F.count("*")).first()[0] if rejects is not None else 0
+    written = written.withColumns({"skipped": F.lit(lost).cast("long"), "errors": F.lit(refused).cast("long")})
+    # Three rows, staged so that the log and the caller see the same counts.
+    counts = _staged(
+        union_all(action_counts(merged, "regions"), action_counts(stations, "stations"), written), "counts"
+    )
+    log_load(spark, names.log, counts, "sync", start, dt.datetime.now())
+    return counts
+
+
 def classify_observations(
     rows: DataFrame, stations: DataFrame, target: DataFrame, order: Sequence[Column]
 ) -> DataFrame:

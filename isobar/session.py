@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.cbo.enabled": "true",
     "spark.sql.cbo.joinReorder.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints go once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.orc.filterPushdown": "true",
 }
@@ -51,14 +53,15 @@ def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "isobar")
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Without that setting a session on one machine uses a folder in its warehouse; a
+    cluster is refused.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="isobar-shared-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base
