@@ -21,19 +21,21 @@ nothing; repeated rows are scored alike; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.base import arrow_append, arrow_map, id_and_text
+from isobar.llm.tokens import WordCache
 
-POSITIVES = 4_000
-UNLABELLED = 12_000
-WORDS = 8_192
+POSITIVES = 3_000
+UNLABELLED = 9_000
+FEATURES = 8_192
+# Share of the toxic texts that a feature is in at least.
+SUPPORT = 0.03
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -42,33 +44,35 @@ def words(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
-def parts(word: str) -> list[str]:
-    """The word and its beginnings, which stand for the stems of inflected words."""
-    return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
+def parts(word: str) -> list[int]:
+    """32-bit hashes of the word and of its beginnings, which stand for stems of inflected words."""
+    return [
+        xxhash.xxh3_64_intdigest(x) & 0xFFFFFFFF for x in (word, *(f"{word[:n]}-" for n in STEMS if len(word) > n))
+    ]
 
 
-def features(found: Iterable[str]) -> set[str]:
-    return {x for w in found for x in parts(w)}
+_PARTS = WordCache(lambda found: [np.array(parts(w), np.uint32).tobytes() for w in found], limit=500_000)
+
+
+def features(text: str) -> np.ndarray:
+    """Sorted distinct features of a text."""
+    return np.unique(np.frombuffer(b"".join(_PARTS.get(list(words(text)))), np.uint32))
 
 
 @dataclass
 class Model:
-    weights: dict[str, float] = field(default_factory=dict)
+    """Features with a weight, in rising order, their weights, and the intercept."""
+
+    names: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = float("-inf")
-    known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def score(self, text: str) -> float:
-        # Word → those of its parts that have a weight; of bounded size.
-        known, weights, seen = self.known, self.weights, set()
-        for w in words(text):
-            found = known.get(w)
-            if found is None:
-                if len(known) >= 500_000:
-                    known.clear()
-                found = known[w] = tuple(x for x in parts(w) if x in weights)
-            seen.update(found)
-        # A fixed order of summing, so that equal texts score alike in every process.
-        f = self.bias + sum(sorted(weights[x] for x in seen))
+        f = self.bias
+        if len(self.names):
+            x = features(text)
+            at = np.minimum(np.searchsorted(self.names, x), len(self.names) - 1)
+            f += float(self.weights[at[self.names[at] == x]].sum())
         return float(1.0 / (1.0 + np.exp(-f))) if f > -500 else 0.0
 
 
@@ -77,31 +81,38 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % 5 == 0
 
 
-def _vocabulary(toxic: list[list[str]], other: list[list[str]]) -> list[str]:
-    """The words whose share of texts differs most, in standard errors; ties by the word."""
-    a, b = Counter(), Counter()
-    for texts, count in ((toxic, a), (other, b)):
-        for t in texts:
-            count.update(features(t))
-    n, m = max(len(toxic), 1), max(len(other), 1)
-
-    def strength(w):
-        p, q = a[w] / n, b[w] / m
-        both = (a[w] + b[w]) / (n + m)
-        return abs(p - q) / np.sqrt(both * (1 - both) * (1 / n + 1 / m) + 1e-12)
-
-    often = {w: strength(w) for w in a.keys() | b.keys() if a[w] + b[w] >= 3}
-    # What the largest of that many chance differences is expected to reach.
-    least = np.sqrt(2 * np.log(max(len(often), 2)))
-    return sorted((w for w, z in often.items() if z >= least), key=lambda w: (-often[w], w))[:WORDS]
+def _vocabulary(toxic: list[np.ndarray], other: list[np.ndarray], prior: float) -> np.ndarray:
+    """The features of toxic texts, in rising order."""
+    names, a = np.unique(np.concatenate(toxic), return_counts=True)
+    more, b = np.unique(np.concatenate(other), return_counts=True)
+    every = np.union1d(names, more)
+    both = np.zeros((2, len(every)))
+    both[0, np.searchsorted(every, names)] = a
+    both[1, np.searchsorted(every, more)] = b
+    # Words of a few copied texts are frequent in no sense that counts.
+    often = both[0] >= np.maximum(3, SUPPORT * len(toxic))
+    every, both = every[often], both[:, often]
+    n, m = len(toxic), len(other)
+    share = both.sum(0) / (n + m)
+    z = np.abs(both[0] / n - both[1] / m) / np.sqrt(share * (1 - share) * (1 / n + 1 / m) + 1e-12)
+    # Beyond what the largest of that many chance differences is expected to reach, and in texts
+    # that are toxic more often than not: many features of little effect add up in long texts.
+    telling = prior * both[0] / n >= 0.5 * both[1] / m
+    strong = np.flatnonzero(telling & (z >= np.sqrt(2 * np.log(max(len(every), 2)))))
+    strong = strong[np.argsort(-z[strong], kind="stable")][:FEATURES]
+    return np.sort(every[strong])
 
 
 class _Sparse:
-    def __init__(self, texts: list[list[str]], place: dict[str, int]):
-        found = [sorted(place[x] for x in features(t) if x in place) for t in texts]
-        self.n, self.m = len(texts), len(place)
-        self.rows = np.repeat(np.arange(self.n), [len(x) for x in found])
-        self.cols = np.array([c for x in found for c in x], np.int64)
+    def __init__(self, texts: list[np.ndarray], names: np.ndarray):
+        self.n, self.m = len(texts), len(names)
+        rows, cols = [], []
+        for i, x in enumerate(texts):
+            at = np.minimum(np.searchsorted(names, x), max(len(names) - 1, 0))
+            hit = at[names[at] == x] if len(names) else at[:0]
+            cols.append(hit)
+            rows.append(np.full(len(hit), i))
+        self.rows, self.cols = np.concatenate(rows), np.concatenate(cols)
 
     def times(self, w):
         return np.bincount(self.rows, weights=w[self.cols], minlength=self.n)
@@ -111,14 +122,13 @@ class _Sparse:
 
 
 def nonnegative_pu(
-    toxic: list[list[str]], unlabelled: list[list[str]], prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4
+    toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4
 ) -> Model:
     """Full-batch Adam on the non-negative risk."""
     if not toxic or not unlabelled:
         return Model()
-    names = _vocabulary(toxic, unlabelled)
-    place = {w: i for i, w in enumerate(names)}
-    p, u = _Sparse(toxic, place), _Sparse(unlabelled, place)
+    names = _vocabulary(toxic, unlabelled, prior)
+    p, u = _Sparse(toxic, names), _Sparse(unlabelled, names)
     w, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
 
@@ -140,7 +150,7 @@ def nonnegative_pu(
         step = rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
         w -= step[:-1]
         bias -= step[-1]
-    return Model({n: float(x) for n, x in zip(names, w) if x}, float(bias))
+    return Model(names, w, float(bias))
 
 
 def fit(
@@ -163,14 +173,12 @@ def fit(
 
     def shorten(batches):
         for b in batches:
-            yield {"part": b.column(0).to_pylist(), "words": [" ".join(sorted(words(t.as_py()))) for t in b.column(1)]}
+            yield {"part": b.column(0), "found": [features(t.as_py()).tobytes() for t in b.column(1)]}
 
-    # At most positives + unlabelled identifiers are broadcast, and as many word sets come back.
+    # At most positives + unlabelled identifiers are broadcast, and as many feature sets come back.
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(drawn), "doc_id").select("part", "text")
-    found = arrow_map(texts, shorten, "part int, words string").collect()
-    sets = sorted((r["part"], r["words"]) for r in found)
-    toxic = [x.split() for part, x in sets if part == 1]
-    other = [x.split() for part, x in sets if part == 0]
+    sets = sorted((r["part"], bytes(r["found"])) for r in arrow_map(texts, shorten, "part int, found binary").collect())
+    toxic, other = ([np.frombuffer(x, np.uint32) for p, x in sets if p == part] for part in (1, 0))
     return nonnegative_pu(toxic, other, min(float(prior), 0.99))
 
 
