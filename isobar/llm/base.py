@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,13 @@ def arrow_append(
     return df.mapInArrow(run, StructType([*df.schema.fields, *more.fields]))
 
 
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start .. start+length-1 of each span, behind each other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
 def spread(*cols: str, parts: int) -> Column:
     """A bucket 0 .. parts-1 from a hash of columns; a repeated task gives the same."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(parts)).cast("int")

@@ -20,60 +20,63 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable
+import struct
+from collections.abc import Callable
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from isobar.llm.base import arrow_map, id_and_text
+from isobar.llm.base import arrow_map, id_and_text, spans
 from isobar.llm.tokens import WordCache, byte_chunks
 
-BLOCK_CHARS = 8 << 20
-PAIRS_KEPT = 1_000_000
+BLOCK_CHARS = 3 << 20
+CHUNKS_KEPT = 300_000
+SHIFT = 20
 
 
 class ByteBPE:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.bytes_of = {v: k for k, v in self.ranks.items()}
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        bytes_of = {v: k for k, v in ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.joins: dict[tuple[int, int], int | None] = {}
-        self.dtype = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
-        self.words = WordCache(self._words)
-        self.chunks = WordCache(self._chunks)
-
-    def _join(self, a: int, b: int) -> int | None:
-        """Id, and so rank, of two symbols joined."""
-        try:
-            return self.joins[a, b]
-        except KeyError:
-            if len(self.joins) >= PAIRS_KEPT:
-                self.joins.clear()
-            got = self.joins[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
-            return got
+        self.dtype = "<u2" if max(bytes_of) < 1 << 16 else "<u4"
+        # All ways to join two symbols: a << SHIFT | b → rank of the join, which is its id.
+        self.joins: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.joins[left << SHIFT | right] = rank
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.of_bytes = np.array(
+            [[self.joins.get(int(x) << SHIFT | int(y), -1) for y in self.single] for x in self.single], np.int64
+        )
+        # The tokens' bytes behind each other, for decoding.
+        self.length = np.array([len(bytes_of.get(i, b"")) for i in range(max(bytes_of) + 1)], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(bytes_of.get(i, b"") for i in range(len(self.length))), np.uint8)
+        self.chunks = WordCache(self._chunks, limit=CHUNKS_KEPT)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
-        single, join = self.single, self._join
         # All words behind each other; -1 ends a word.
-        symbol: list[int] = []
-        for w in words:
-            symbol.extend([single[b] for b in w])
-            symbol.append(-1)
-        size = len(symbol)
-        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        places: dict[int, list[int]] = {}
-        for i in range(size - 1):
-            a, b = symbol[i], symbol[i + 1]
-            if a >= 0 and b >= 0:
-                rank = join(a, b)
-                if rank is not None:
-                    places.setdefault(rank, []).append(i)
-        heap = list(places)
-        heapq.heapify(heap)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        size = int(ends[-1]) + 1 if len(words) else 0
+        joined = np.frombuffer(b"\0".join(words) + b"\0" if words else b"", np.uint8)
+        first = self.single[joined]
+        first[ends if size else []] = -1
+        rank_at = np.full(size, -1, np.int64)
+        rank_at[:-1] = np.where((first[:-1] >= 0) & (first[1:] >= 0), self.of_bytes[joined[:-1], joined[1:]], -1)
+        # The index: rank → places where the join applies, ascending.
+        order = np.argsort(rank_at, kind="stable")
+        order = order[np.searchsorted(rank_at[order], 0) :]
+        cuts = np.flatnonzero(np.diff(rank_at[order])) + 1
+        places = {int(rank_at[p[0]]): p.tolist() for p in np.split(order, cuts) if len(p)}
+        symbol, after, before = first.tolist(), list(range(1, size + 1)), list(range(-1, size - 1))
+        join = self.joins.get
+        heap = sorted(places)
         while heap:
             rank = heapq.heappop(heap)
             todo = places.pop(rank, None)
@@ -82,11 +85,8 @@ class ByteBPE:
             todo.sort()
             for n, i in enumerate(todo):
                 a = symbol[i]
-                if a < 0:
-                    continue
                 j = after[i]
-                b = symbol[j]
-                if b < 0 or join(a, b) != rank:
+                if a < 0 or symbol[j] < 0 or join(a << SHIFT | symbol[j]) != rank:
                     continue
                 symbol[i] = rank
                 symbol[j] = -2
@@ -94,51 +94,44 @@ class ByteBPE:
                 before[k] = i
                 lower = False
                 if symbol[k] >= 0:
-                    new = join(rank, symbol[k])
+                    new = join(rank << SHIFT | symbol[k])
                     if new is not None:
-                        if new not in places:
-                            places[new] = []
+                        if new in places:
+                            places[new].append(i)
+                        else:
+                            places[new] = [i]
                             heapq.heappush(heap, new)
-                        places[new].append(i)
                         lower = new < rank
                 h = before[i]
                 if h >= 0 and symbol[h] >= 0:
-                    new = join(symbol[h], rank)
+                    new = join(symbol[h] << SHIFT | rank)
                     if new is not None:
-                        if new not in places:
-                            places[new] = []
+                        if new in places:
+                            places[new].append(h)
+                        else:
+                            places[new] = [h]
                             heapq.heappush(heap, new)
-                        places[new].append(h)
                         lower = lower or new < rank
                 if lower and n + 1 < len(todo):
                     # The lower pair comes first, then the rest of this merge.
                     places[rank] = todo[n + 1 :]
                     heapq.heappush(heap, rank)
                     break
-        out, word = [], []
-        i = 0
-        while i < size:
-            s = symbol[i]
-            if s == -1:
-                out.append(word)
-                word = []
-            else:
-                word.append(s)
-            i = after[i]
-        return out
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        found = self.replay([w.encode() for w in words])
-        return [np.array(x, self.dtype).tobytes() for x in found]
+        left = np.array(symbol, np.int64)
+        left = left[left != -2]
+        stops = np.flatnonzero(left == -1)
+        begins = np.concatenate(([0], stops[:-1] + 1)) if len(stops) else stops
+        flat = left.tolist()
+        return [flat[x:y] for x, y in zip(begins.tolist(), stops.tolist())]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         split = [self.find(c) for c in chunks]
-        flat = self.words.get([w for ws in split for w in ws])
-        out, at = [], 0
-        for ws in split:
-            out.append(flat[at] if len(ws) == 1 else b"".join(flat[at : at + len(ws)]))
-            at += len(ws)
-        return out
+        words = list(dict.fromkeys(w for ws in split for w in ws))
+        code = f"<{{}}{'H' if self.dtype == '<u2' else 'I'}"
+        ids = {
+            w: struct.pack(code.format(len(x)), *x) for w, x in zip(words, self.replay([w.encode() for w in words]))
+        }
+        return [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the new words of all texts are replayed together."""
@@ -150,8 +143,11 @@ class ByteBPE:
             at += len(cs)
         return out
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or not self.length[ids].all()):
+            raise ValueError("ids that the vocabulary lacks")
+        return self.flat[spans(self.begin[ids], self.length[ids])].tobytes()
 
 
 _CODECS: dict[tuple[str, str], ByteBPE] = {}
@@ -179,24 +175,28 @@ def _blocks(batches):
         yield ids, texts
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids of every row of docs."""
+def _both(ids: list[np.ndarray], decoded: list[bytes]) -> dict[str, list]:
+    return {"ids": ids, "decoded": decoded}
 
-    def run(batches):
-        bpe = codec(path, pattern)
-        for names, texts in _blocks(batches):
-            yield {"doc_id": names, "ids": bpe.encode(texts)}
 
-    return arrow_map(id_and_text(docs, id_col, text_col), run, "doc_id long, ids array<int>")
+def round_trip(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    output: Callable[[list[np.ndarray], list[bytes]], dict[str, list]] = _both,
+    schema: str = "ids array<int>, decoded binary",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """doc_id with the ids of every row of docs and the bytes they decode to.
 
-
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids and the decoded bytes as `decoded`."""
+    `output` turns both lists into other columns within the same task, `schema` names them.
+    """
 
     def run(batches):
         bpe = codec(path, pattern)
-        for b in batches:
-            ids = b.column("ids")
-            yield {"doc_id": b.column("doc_id"), "ids": ids, "decoded": [bpe.decode(x) for x in ids.to_pylist()]}
+        for names, texts in _blocks(batches):
+            ids = bpe.encode(texts)
+            yield {"doc_id": names, **output(ids, [bpe.decode(x) for x in ids])}
 
-    return arrow_map(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary")
+    return arrow_map(id_and_text(docs, id_col, text_col), run, f"doc_id long, {schema}")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +45,25 @@ def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(files)
 
 
+_DECIMALS = [str(i) for i in range(1 << 16)]
+
+
+def _digests(ids: list[np.ndarray], decoded: list[bytes]) -> dict[str, list]:
+    def decimals(x):
+        return ",".join(map(_DECIMALS.__getitem__, x.tolist())).encode()
+
+    return {
+        "n_tokens": [len(x) for x in ids],
+        "ids_sha256": [hashlib.sha256(decimals(x)).hexdigest() for x in ids],
+        "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in decoded],
+    }
+
+
 @_query
 def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = merge_replay.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    return merge_replay.decode(encoded, ranks, pattern).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    return merge_replay.round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN, _digests, "n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
 
 

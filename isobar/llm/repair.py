@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from isobar.llm.base import arrow_map, id_and_text, stage
+from isobar.llm.base import arrow_map, id_and_text, spans, stage
 from isobar.llm.tokens import word_encoder
 
 BLOCK = 1 << 20
@@ -135,12 +135,12 @@ class Grammar:
             for part, offset in ((0, 0), (1, self.lengths[rules[same, 0]])):
                 symbols = rules[same, part]
                 to = self.begins[letters + same] + offset
-                self.flat[_spans(to, self.lengths[symbols])] = self._expand(symbols)
+                self.flat[spans(to, self.lengths[symbols])] = self._expand(symbols)
         self.sequence = sequence.astype(np.int64)
         self.ends = np.cumsum(self.lengths[self.sequence])
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        return self.flat[_spans(self.begins[symbols], self.lengths[symbols])]
+        return self.flat[spans(self.begins[symbols], self.lengths[symbols])]
 
     def read(self, start: int, length: int) -> np.ndarray:
         """Ids start .. start+length-1, from the symbols that cover them alone."""
@@ -152,13 +152,6 @@ class Grammar:
         return self._expand(self.sequence[lo : hi + 1])[skip : skip + length]
 
 
-def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start .. start+length-1 of each span, behind each other."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
-
-
 def write_shards(
     docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
