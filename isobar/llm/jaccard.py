@@ -13,11 +13,13 @@ for every l up to a. A longer prefix asks for more shared tokens.
 2. The others' tokens are ordered by document frequency, rarest first. Each document
    lengthens its prefix to the l with the least estimated cost: entries read in the
    lists of its prefix tokens, plus verification of at most (entries / l) candidates.
-3. Within each token's list, neighbours are verified first (by size, then in mixed
-   order) and joined to components. Then all pairs of a list that lie in different
-   components, fit in size and share min(l_x, l_y) prefix tokens are verified on the
-   whole sets. Pairs within one component are not emitted: of a dense group, links
-   that connect it suffice. No link between components is lost.
+3. Within each token's list, every node is verified first against the list's hub, then
+   against a neighbour in mixed order, and what links is joined to components. Then all
+   pairs of a list that lie in different components, fit in size and in the number of
+   tokens they share with anyone, and share min(l_x, l_y) prefix tokens are verified on
+   the whole sets, within tasks that hold blocks of nodes. Pairs within one component are
+   not looked at: of a dense group, links that connect it suffice. No link between
+   components is lost.
 
 Hashes have 64 bits; two different n-grams of one comparison collide with a
 probability below 10^-12.
@@ -42,16 +44,20 @@ from pyspark.sql.window import Window
 from isobar.llm.base import arrow_map, id_and_text, stage
 from isobar.llm.components import components
 from isobar.llm.tokens import WordCache
+from isobar.operators.skew import broadcast_if_small
 
 CHUNK_TOKENS = 1 << 20
+SHORT = (1 << 40) - 1
 # What verifying a candidate costs, in list entries read.
 VERIFY = 50
 # Lists longer than this are chained in slices.
 LIST_ROWS = 100_000
 CHAINS = 2
+# Tokens of a block of nodes that are compared across components.
+CELL_TOKENS = 1 << 22
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-_WORDS = WordCache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], limit=1_000_000)
+_WORDS = WordCache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], limit=400_000)
 
 
 def shingles(text: str, n: int = 5) -> np.ndarray:
@@ -110,8 +116,8 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
             m = len(cuts)
             yield {
                 "kind": [1] * m, "doc_id": [None] * m, "n": [None] * m, "node": [None] * m, "bucket": to[cuts],
-                "tokens": [sent[a:b].tobytes() for a, b in zip(cuts, ends)],
-                "nodes": [whose[a:b].tobytes() for a, b in zip(cuts, ends)],
+                "tokens": [(sent[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(cuts, ends)],
+                "nodes": [_packed(whose[a:b]) for a, b in zip(cuts, ends)],
             }
             if len(keys):
                 yield {
@@ -129,7 +135,7 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
                 if len(s) and node not in seen:
                     seen.add(node)
                     prefix = s[: len(s) - least_shared(len(s), percent) + first_matches(len(s))]
-                    held.append((node, prefix))
+                    held.append((node & SHORT, prefix))
                     size += len(prefix)
                     if size >= CHUNK_TOKENS:
                         yield from flush()
@@ -145,19 +151,35 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
     return arrow_map(docs, run, "kind int, doc_id long, n long, node long, bucket int, tokens binary, nodes binary")
 
 
+def _packed(nodes: np.ndarray) -> bytes:
+    """40 bits of each node: all low halves, then all high bytes."""
+    return (nodes & 0xFFFFFFFF).astype("<u4").tobytes() + (nodes >> 32).astype(np.uint8).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // 5
+    return np.frombuffer(data, "<u4", n).astype(np.int64) | np.frombuffer(data, np.uint8, n, 4 * n).astype(np.int64) << 32
+
+
 def _node(tokens: np.ndarray) -> int | None:
-    """Identity of a set: 64 bits of a digest, never 0; none for the empty set."""
+    """Identity of a set: 64 bits of a digest, the short form never 0; none for the empty set."""
     if not len(tokens):
         return None
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) or 1
+    node = int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+    return node if node & SHORT else node + 1
 
 
 def _shared_counts(first: DataFrame) -> DataFrame:
-    """(node, shared): how many prefix tokens of a node another node has too, or more than that."""
+    """(short, shared): how many prefix tokens of a node another node has too, or more than that.
+
+    Lists hold 32 bits of each token beside its bucket, and 40 bits of each node. Tokens
+    taken for one only raise counts; two partners taken for one node, which would lower
+    them, have a probability of 10^-12.
+    """
 
     def count(parts):
-        tokens = np.concatenate([np.frombuffer(t, np.uint64) for t, _ in parts])
-        nodes = np.concatenate([np.frombuffer(k, np.int64) for _, k in parts])
+        tokens = np.concatenate([np.frombuffer(t, "<u4") for t, _ in parts])
+        nodes = np.concatenate([_unpacked(k) for _, k in parts])
         order = np.lexsort((nodes, tokens))
         tokens, nodes = tokens[order], nodes[order]
         new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
@@ -173,39 +195,42 @@ def _shared_counts(first: DataFrame) -> DataFrame:
             for bucket, t, k in zip(*(b.column(c).to_pylist() for c in ("bucket", "tokens", "nodes"))):
                 if bucket != at and parts:
                     keys, times = count(parts)
-                    yield {"node": keys, "shared": times}
+                    yield {"short": keys, "shared": times}
                     parts = []
                 at = bucket
                 parts.append((t, k))
         if parts:
             keys, times = count(parts)
-            yield {"node": keys, "shared": times}
+            yield {"short": keys, "shared": times}
 
     def unpack(batches):
         for b in batches:
             for t, k in zip(b.column("tokens").to_pylist(), b.column("nodes").to_pylist()):
-                yield {"node": np.frombuffer(k, np.int64), "shared": np.frombuffer(t, np.int64)}
+                yield {"short": np.frombuffer(k, np.int64), "shared": np.frombuffer(t, np.int64)}
 
     lists = first.where("kind = 1").select("bucket", "tokens", "nodes").repartition("bucket").sortWithinPartitions("bucket")
     known = first.where("kind = 2").select("tokens", "nodes")
-    both = arrow_map(lists, run, "node long, shared long").union(arrow_map(known, unpack, "node long, shared long"))
-    return both.groupBy("node").agg(F.sum("shared").alias("shared"))
+    both = arrow_map(lists, run, "short long, shared long").union(arrow_map(known, unpack, "short long, shared long"))
+    return both.groupBy("short").agg(F.sum("shared").alias("shared"))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, matches): the prefix of every node by rising document frequency."""
+    """(node, n, matches, shared, prefix, df): the prefix of every node by rising document frequency.
+
+    `shared` counts the node's tokens that any other has; no overlap exceeds it.
+    """
     tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
     often = stage(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     ordered = (
         tokens.join(often, "token")
         .groupBy("node", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_df"))
+        .agg(F.array_sort(F.collect_set(F.struct("df", "token"))).alias("by_df"))
         .select("node", "n", F.col("by_df.df").alias("df"), F.col("by_df.token").alias("tokens"))
     )
 
     def run(batches):
         for b in batches:
-            out = {"token": [], "node": [], "n": [], "matches": [], "df": []}
+            out = {"node": [], "n": [], "matches": [], "shared": [], "prefix": [], "df": []}
             for node, n, df, found in zip(*(b.column(c).to_pylist() for c in ("node", "n", "df", "tokens"))):
                 need = least_shared(n, percent)
                 # Any l up to what the smallest possible partner shares.
@@ -218,47 +243,157 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 read = np.cumsum(np.array(df, np.float64) - 1)[np.minimum(kept, len(found)) - 1]
                 best = int(np.argmin(read + VERIFY * read / matches))
                 m = int(kept[best])
-                out["token"] += found[:m]
-                out["df"] += df[:m]
-                out["node"] += [node] * m
-                out["n"] += [n] * m
-                out["matches"] += [best + 1] * m
+                for name, v in (
+                    ("node", node), ("n", n), ("matches", best + 1), ("shared", len(found)),
+                    ("prefix", found[:m]), ("df", df[:m]),
+                ):
+                    out[name].append(v)
             yield out
 
-    return arrow_map(ordered, run, "token long, node long, n long, matches int, df long")
+    return arrow_map(
+        ordered, run, "node long, n long, matches int, shared long, prefix array<long>, df array<long>"
+    )
+
+
+def _lists(prefixes: DataFrame) -> DataFrame:
+    """A row per node and prefix token."""
+    both = F.explode(F.arrays_zip("prefix", "df"))
+    return prefixes.select("node", "n", "shared", "comp", both.alias("_at")).select(
+        "node", "n", "shared", "comp", F.col("_at.prefix").alias("token"), F.col("_at.df").alias("df")
+    )
 
 
-def _fits(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _fits(percent: int) -> Column:
+    """Whether sizes, and tokens shared with anyone, allow a node and the `other_` one the similarity."""
+    n, m = F.col("n"), F.col("other_n")
+    sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    return sizes & (F.least("shared", "other_shared") * (100 + percent) >= (n + m) * percent)
 
 
 def _chained(prefixes: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of neighbours in every list: by size in turn 0, in mixed order afterwards."""
-    mixed = F.xxhash64(F.lit(turn), "node")
+    """Few pairs of every list that probably are links.
+
+    In turn 0 each node goes with the list's hub, the one with the fewest tokens of its
+    own: in a group of near copies that is the copy nearest to what they have in common.
+    Afterwards each goes with its neighbour in a mixed order.
+    """
     slice_ = F.pmod(F.xxhash64("node"), F.ceil(F.col("df") / LIST_ROWS))
-    by = [F.col("n"), F.col("node")] if turn == 0 else [mixed, F.col("node")]
-    order = Window.partitionBy("token", "slice").orderBy(*by)
-    found = prefixes.withColumn("slice", slice_).select(
-        "node", "n", "comp", *(F.lag(c).over(order).alias(f"last_{c}") for c in ("node", "n", "comp"))
+    by = [F.col("n") - F.col("shared"), F.col("n")] if turn == 0 else [F.xxhash64(F.lit(turn), "node")]
+    order = Window.partitionBy("token", "slice").orderBy(*by, "node")
+    if turn == 0:
+        order = order.rowsBetween(Window.unboundedPreceding, 0)
+    pick = F.first if turn == 0 else F.lag
+    names = ("node", "n", "shared", "comp")
+    found = _lists(prefixes).withColumn("slice", slice_).select(
+        *names, *(pick(c).over(order).alias(f"other_{c}") for c in names)
+    )
+    found = found.where((F.col("comp") != F.col("other_comp")) & _fits(percent))
+    return found.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
+
+
+def _across(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different components; for each two components one will do.
+
+    Lists that lie in several components are brought together under their hub, so that
+    a node comes once with all the lists of a group. A group is cut into blocks of
+    CELL_TOKENS tokens, and each two blocks make a cell. Within a cell candidates share
+    as many prefix tokens as both nodes ask for; they are verified on the whole sets.
+    """
+    lists = _lists(prefixes)
+    mixed = lists.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "n", "node"))["node"].alias("hub"),
+    )
+    members = stage(
+        lists.join(mixed.where("lo < hi").select("token", "hub"), "token").select("hub", "node", "n").distinct(), "members"
     )
-    found = found.where((F.col("comp") != F.col("last_comp")) & _fits("n", "last_n", percent))
-    return found.select(F.least("node", "last_node").alias("a"), F.greatest("node", "last_node").alias("b")).distinct()
-
-
-def _across(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs in different components that share as many prefix tokens as both ask for."""
-    mixed = prefixes.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    lists = prefixes.join(mixed.select("token"), "token").select("token", "node", "n", "matches", "comp")
-    other = lists.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "matches", "comp")))
-    pair = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")) & _fits("n", "n_b", percent)
-    return (
-        lists.join(other, "token")
-        .where(pair)
-        .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), F.least("matches", "matches_b").alias("asked"))
-        .count()
-        .where("count >= asked")
-        .select("a", "b")
+    blocks = members.groupBy("hub").agg(F.ceil(F.sum("n") / CELL_TOKENS).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = (
+        members.select("hub", "node")
+        .join(blocks, "hub")
+        .withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("hub", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
+    rows = cells.join(prefixes.drop("df"), "node").join(sets.select("node", "tokens"), "node")
+    cell = ["hub", "i", "j"]
+
+    def run(batches):
+        key, held = None, []
+        for b in batches:
+            names = ("node", "n", "matches", "shared", "comp")
+            keys = list(zip(*(b.column(c).to_pylist() for c in cell)))
+            values = list(zip(*(b.column(c).to_pylist() for c in names)))
+            prefix, tokens = b.column("prefix"), b.column("tokens")
+            for i, now in enumerate(keys):
+                if now != key and held:
+                    yield from _cell_links(held, percent)
+                    held = []
+                key = now
+                held.append((*values[i], prefix[i].values.to_numpy(), tokens[i].values.to_numpy()))
+        if held:
+            yield from _cell_links(held, percent)
+
+    ordered = rows.repartition(*cell).sortWithinPartitions(*cell)
+    return arrow_map(ordered, run, "a long, b long").distinct()
+
+
+class _Postings:
+    """Which of some sets hold a token."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        tokens = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.owner, self.size = tokens[order], owner[order], len(sets)
+
+    def overlaps(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of the tokens each set holds."""
+        lo, hi = np.searchsorted(self.tokens, tokens, "left"), np.searchsorted(self.tokens, tokens, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.owner[at], minlength=self.size)
+
+
+def _cell_links(rows: list[tuple], percent: int):
+    # A repeated document's node may be there twice.
+    rows = list({r[0]: r for r in rows}.values())
+    nodes, n, matches, shared, comp = (np.array([r[c] for r in rows], np.int64) for c in range(5))
+    names, comp = np.unique(comp, return_inverse=True)
+    if len(names) < 2:
+        return
+    # Only nodes outside the largest component start a comparison.
+    largest = int(np.bincount(comp).argmax())
+    prefixes = _Postings([r[5] for r in rows])
+    whole = None
+    out: dict[str, list] = {"a": [], "b": []}
+    root = list(range(len(names)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i in np.flatnonzero(comp != largest).tolist():
+        found = prefixes.overlaps(rows[i][5])
+        fits = (n * 100 >= n[i] * percent) & (n[i] * 100 >= n * percent)
+        fits &= np.minimum(shared, shared[i]) * (100 + percent) >= (n + n[i]) * percent
+        near = np.flatnonzero(fits & (comp != comp[i]) & (found >= np.minimum(matches, matches[i])))
+        if not len(near):
+            continue
+        if whole is None:
+            whole = _Postings([r[6] for r in rows])
+        both = whole.overlaps(rows[i][6])[near]
+        for j in near[both * 100 >= (n[near] + n[i] - both) * percent].tolist():
+            x, y = find(int(comp[i])), find(int(comp[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out["a"].append(min(nodes[i], nodes[j]))
+                out["b"].append(max(nodes[i], nodes[j]))
+    if out["a"]:
+        yield out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -267,7 +402,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     similar = both * 100 >= (F.size("x") + F.size("y") - both) * percent
-    return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b").distinct()
 
 
 def similar_groups(
@@ -283,21 +418,21 @@ def similar_groups(
 
     least_n = F.ceil(F.col("n") * percent / 100)
     asked = F.greatest(F.lit(1), F.ceil(least_n / 10))
-    open_ = classes.join(_shared_counts(first), "node").where(F.col("shared") >= asked).select("node", "rep", "n")
+    short = classes.withColumn("short", F.col("node").bitwiseAND(F.lit(SHORT)))
+    open_ = short.join(_shared_counts(first), "short").where(F.col("shared") >= asked)
+    open_ = stage(open_.select("node", F.col("rep").alias("doc_id")), "open")
     sets = stage(_whole_sets(texts, open_, n), "sets")
     prefixes = stage(_prefixes(sets, percent), "adaptive")
 
-    links, tested, labels = None, None, None
+    links, labels = None, None
     for turn in range(CHAINS + 1):
         at = prefixes.withColumn("comp", F.col("node"))
         if labels is not None:
             at = prefixes.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-        pairs = _chained(at, turn, percent) if turn < CHAINS else _across(at, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verified(pairs, sets, percent), "found")
-        tested = pairs if tested is None else tested.union(pairs)
+        if turn < CHAINS:
+            found = stage(_verified(stage(_chained(at, turn, percent), "pairs"), sets, percent), "found")
+        else:
+            found = stage(_across(at, sets, percent), "found")
         links = found if links is None else links.union(found)
         labels = stage(components(links), "labels")
 
@@ -313,8 +448,11 @@ def similar_groups(
 
 
 def _whole_sets(texts: DataFrame, open_: DataFrame, n: int) -> DataFrame:
-    """(node, n, tokens) of the nodes left, made anew from the text of one of their documents."""
-    wanted = texts.join(open_.select("node", F.col("rep").alias("doc_id")), "doc_id")
+    """(node, n, tokens) of the nodes left, made anew from the text of one of their documents.
+
+    A node whose document's row is repeated is there as often; what follows takes that.
+    """
+    wanted = texts.join(broadcast_if_small(open_), "doc_id")
 
     def run(batches):
         for b in batches:
@@ -328,8 +466,7 @@ def _whole_sets(texts: DataFrame, open_: DataFrame, n: int) -> DataFrame:
                     out["tokens"].append(s.view(np.int64))
             yield out
 
-    made = arrow_map(wanted.select("text", "node"), run, "node long, n long, tokens array<long>")
-    return made.dropDuplicates(["node"])
+    return arrow_map(wanted.select("text", "node"), run, "node long, n long, tokens array<long>")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

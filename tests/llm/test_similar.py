@@ -71,7 +71,7 @@ def near_copies(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("seed,chains", [(1, 2), (2, 0), (3, 1)])
+@pytest.mark.parametrize("seed,chains", [(1, 2), (2, 0)])
 def test_no_link_is_lost(spark, monkeypatch, seed, chains):
     monkeypatch.setattr(jaccard, "CHAINS", chains)
     rows = near_copies(seed, 350)
@@ -79,9 +79,10 @@ def test_no_link_is_lost(spark, monkeypatch, seed, chains):
     assert groups_of(df) == brute_groups(rows)
 
 
-def test_lists_in_slices(spark, monkeypatch):
+def test_lists_in_slices_and_groups_in_cells(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LIST_ROWS", 7)
     monkeypatch.setattr(jaccard, "CHUNK_TOKENS", 50)
+    monkeypatch.setattr(jaccard, "CELL_TOKENS", 300)
     rows = near_copies(4, 250)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert groups_of(df) == brute_groups(rows)
