@@ -26,7 +26,7 @@ from isobar.llm.tokens import WordCache
 
 #: Fixed value: stands for a space in the vocabulary.
 MARK = "▁"
-NODES = 1_000_000
+NODES = 400_000
 
 _PRE_TOKEN = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -57,7 +57,7 @@ class ScoreTrie:
             if len(p) not in known:
                 known.append(len(p))
         self.unknown = min(pieces.values(), default=0.0) - 10.0
-        self.words = WordCache(self._counts)
+        self.words = WordCache(self._counts, limit=300_000)
         self._clear()
 
     def _clear(self) -> None:
