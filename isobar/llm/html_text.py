@@ -5,14 +5,17 @@ page, each with its text, its number of tags and the characters within links. A
 line's text-to-tag ratio is smoothed by a Gaussian over its neighbours, so that a
 short paragraph among long ones ranks with them and a long menu entry among short
 ones does not. Lines at or above the threshold (a share of the page's standard
-deviation, as the ratios of boilerplate crowd near zero) form clusters; the container
-elements that hold most of the clusters' text are the content regions, and their
-lines are given whole, in page order.
+deviation, as the ratios of boilerplate crowd near zero) form clusters; ratios count up
+to a bound, so that no paragraph, however long, makes its neighbours look like
+boilerplate. Container elements whose own text lies mostly in clusters are the content
+regions. All that is below a region is given, nested containers of any kind and size
+included, in page order; only below a body as such, which holds the whole page,
+containers made up of links are left out.
 
 Elements that are no content by their kind or role (scripts, styles, navigation,
 asides, forms, page headers and footers, hidden ones) or by the usual class and id
 words (menus, adverts, notices, reader comments, ...) make no lines. Where a page
-marks an article or main element, regions are sought within those only.
+marks article or main elements, the outermost of them are what regions are chosen from.
 
 Defined results: a null or empty page, or one without content, gives an empty text;
 markup that is broken or cut off is read as far as it goes; repeated pages are
@@ -34,6 +37,8 @@ from isobar.llm.base import arrow_map
 SIGMA = 1.5
 RADIUS = 4
 THRESHOLD = 0.5
+# Characters a tag beyond which a line is no more content than another; keeps the threshold at 25 at most.
+RATIO = 100
 
 # Elements of HTML by their role on a page.
 BLOCKS = frozenset(
@@ -47,7 +52,7 @@ SKIPPED = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 REGIONS = frozenset("article main".split())
-CONTAINERS = frozenset("article main section div body td html blockquote".split())
+CONTAINERS = frozenset("article main section div body table td html blockquote".split())
 # Elements a new one of the same kind ends: their end tags may be left out.
 SELF_CLOSING = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
 COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus discussion".split())
@@ -70,14 +75,18 @@ class _Element:
 
 
 class Lines(HTMLParser):
-    """The lines of a page: (text, tags, characters in links, container number, inside a region)."""
+    """The lines of a page: (text, tags, characters in links, container number, number of the outermost region or 0).
+
+    `boxes` has the tag of each container and the number of the one around it.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", False, False, 0)]
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.stack = [_Element("", False, 0, 0)]
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.boxes: list[tuple[str, int]] = [("", 0)]
         self.parts: list[str] = []
-        self.tags = self.linked = self.links = self.containers = 0
+        self.tags = self.linked = self.links = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -124,9 +133,10 @@ class Lines(HTMLParser):
         kind = "comments" if skip and words & COMMENT_WORDS else skip
         number = top.container
         if tag in CONTAINERS:
-            self.containers += 1
-            number = self.containers
-        self.stack.append(_Element(tag, top.skip or kind, top.region or tag in REGIONS and not skip, number))
+            number = len(self.boxes)
+            self.boxes.append((tag, top.container))
+        region = top.region or (number if tag in REGIONS and not skip else 0)
+        self.stack.append(_Element(tag, top.skip or kind, region, number))
 
     def _end_open(self, tag: str) -> None:
         """A second p, li, ... ends the first, unless a container stands between."""
@@ -172,7 +182,7 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel)[RADIUS : RADIUS + len(ratios)] / weight
 
 
-def content(lines: list[tuple[str, int, int, int, bool]]) -> list[str]:
+def content(lines: list[tuple[str, int, int, int, int]], boxes: list[tuple[str, int]]) -> list[str]:
     """The texts of the content regions' lines, in order."""
     within = [x for x in lines if x[4]]
     lines = within or lines
@@ -180,25 +190,45 @@ def content(lines: list[tuple[str, int, int, int, bool]]) -> list[str]:
         return []
     size = np.array([len(t) for t, *_ in lines], float)
     plain = size - np.minimum(size, [linked for _, _, linked, *_ in lines])
-    level = smoothed(plain / np.maximum(1, [n for _, n, *_ in lines]))
+    level = smoothed(np.minimum(plain / np.maximum(1, [n for _, n, *_ in lines]), RATIO))
     high = level >= THRESHOLD * level.std()
+    # What is chosen: marked regions as a whole, else containers by the lines of their own.
+    units = [region or box for *_, box, region in lines]
     mass: dict[int, float] = {}
     whole: dict[int, float] = {}
-    for (*_, box, _), n, p, up in zip(lines, size, plain, high):
-        mass[box] = mass.get(box, 0.0) + (p if up else 0.0)
-        whole[box] = whole.get(box, 0.0) + n
-    # Regions are containers whose text mostly lies in the clusters; on a page with a
-    # marked article that is asked of its lines' own container as a whole.
-    least = 0.0 if within else 0.1 * max(mass.values())
-    chosen = {b for b, m in mass.items() if m > 0 and m >= 0.5 * whole[b] and m >= least} or {max(mass, key=mass.get)}
-    return [t for t, *_, box, _ in lines if box in chosen]
+    for unit, n, p, up in zip(units, size, plain, high):
+        mass[unit] = mass.get(unit, 0.0) + (p if up else 0.0)
+        whole[unit] = whole.get(unit, 0.0) + n
+    chosen = {b for b, m in mass.items() if m > 0 and m >= 0.5 * whole[b]} or {max(mass, key=mass.get)}
+    if not within:
+        chosen |= _below(chosen, boxes, [box for *_, box, _ in lines], size, plain)
+    return [t for (t, *_), unit in zip(lines, units) if unit in chosen]
+
+
+def _below(chosen: set[int], boxes: list[tuple[str, int]], owner: list[int], size: np.ndarray, plain: np.ndarray) -> set[int]:
+    """The containers given because one around them is."""
+    total = [np.bincount(owner, x, minlength=len(boxes)) for x in (size, plain)]
+    for b in range(len(boxes) - 1, 0, -1):
+        for x in total:
+            x[boxes[b][1]] += x[b]
+    given, page = set(), set()
+    for b, (tag, up) in enumerate(boxes):
+        if tag in ("", "html", "body"):
+            if b in chosen or b and up in page:
+                page.add(b)
+        elif b in chosen or up in given:
+            given.add(b)
+        elif up in page and (tag == "td" or 2 * total[1][b] >= total[0][b]):
+            # Of what is below a body, links alone are a menu, but for cells of a table.
+            page.add(b)
+    return given | page
 
 
 def main_text(html: str) -> str:
     page = Lines()
     page.feed(html)
     page.close()
-    return "\n\n".join(content(page.lines))
+    return "\n\n".join(content(page.lines, page.boxes))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

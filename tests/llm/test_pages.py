@@ -38,6 +38,43 @@ def test_pages(name):
     assert html_text.main_text(page(body)) == "\n\n".join(" ".join(w.split()) for w in want)
 
 
+def line(i, n):
+    """A paragraph of n characters of its own."""
+    return (f"{i} has words. " + "more of them, " * (n // 14 + 1))[: n - 1] + "."
+
+
+def test_nested_containers_of_a_region_are_whole():
+    few, many = [line(i, 2_000) for i in range(6)], [line(100 + i, 120) for i in range(15)]
+    cells = [f"cell {i}" for i in range(30)]
+    table = "<table>" + "".join(f"<tr><td>{a}</td><td>{b}</td></tr>" for a, b in zip(cells[::2], cells[1::2])) + "</table>"
+    verse = [f"Line {i}" for i in range(10)]
+    twenty = [line(i, 200) for i in range(20)]
+    bodies = {
+        "giant": (f"<section><p>{line(0, 50_000)}</p></section><section>{paragraphs(*twenty)}</section>", [line(0, 50_000), *twenty]),
+        "sections": (f"<section>{paragraphs(*few)}</section><section>{paragraphs(*many)}</section>", few + many),
+        "table": (paragraphs(*few) + table + paragraphs(*many), few + cells + many),
+        "quote": (paragraphs(*few) + f"<blockquote>{paragraphs(*verse)}</blockquote>" + paragraphs(*many), few + verse + many),
+    }
+    for name, (body, want) in bodies.items():
+        for around in ("<article>{}</article>", "<main><div>{}</div></main>", "<div><p>Some words to begin with, and enough of them to count.</p>{}</div>"):
+            got = html_text.main_text(page(f"<nav>{MENU}</nav>" + around.format(body))).split("\n\n")
+            assert got[-len(want) :] == [" ".join(w.split()) for w in want], (name, around)
+            assert len(got) - len(want) == around.count("<p>"), (name, around)
+
+
+def test_small_containers_beside_a_large_one():
+    twenty = [line(i, 200) for i in range(20)]
+    for a, b in (("<div>", "</div>"), ("<section>", "</section>"), ("<article>", "</article>")):
+        body = f"<div>{MENU}</div>{a}<p>{line(0, 50_000)}</p>{b}{a}{paragraphs(*twenty)}{b}"
+        assert html_text.main_text(page(body)).split("\n\n") == [" ".join(w.split()) for w in [line(0, 50_000), *twenty]], a
+
+
+def test_body_with_text_of_its_own():
+    quote = f"<blockquote>{paragraphs('One.', 'Two.')}</blockquote>"
+    got = html_text.main_text(page(f"<div>{MENU}</div>{paragraphs(LONG, LONG)}{quote}{paragraphs(LONG)}<div>{MENU}</div>"))
+    assert got.split("\n\n") == [LONG.strip(), LONG.strip(), "One.", "Two.", LONG.strip()]
+
+
 def test_odd_pages():
     for html in ("", "<", "<p", "plain text only", "</div></p>", "<!--", "<![CDATA[x]]>", "<p>" * 5_000, "x" * 300_000):
         assert isinstance(html_text.main_text(html), str)
