@@ -14,7 +14,9 @@ containers made up of links are left out.
 
 Elements that are no content by their kind or role (scripts, styles, navigation,
 asides, forms, page headers and footers, hidden ones) or by the usual class and id
-words (menus, adverts, notices, reader comments, ...) make no lines. Where a page
+words (menus, adverts, notices, reader comments, ...) make no lines. Within an article or
+main element such words are often those of its subject, so there only names that say
+nothing else count (adverts, sharing, newsletters, comment lists, page menus). Where a page
 marks article or main elements, the outermost of them are what regions are chosen from.
 
 Defined results: a null or empty page, or one without content, gives an empty text;
@@ -53,20 +55,43 @@ SKIPPED = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 REGIONS = frozenset("article main".split())
 CONTAINERS = frozenset("article main section div body table td html blockquote".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements a new one of the same kind ends: their end tags may be left out.
 SELF_CLOSING = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
-COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus discussion".split())
+COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
 BOILERPLATE_WORDS = COMMENT_WORDS | frozenset(
     "ad ads adbox advert adverts advertisement advertising alert banner breadcrumb breadcrumbs consent cookie cookies "
     "copyright disclaimer footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
     "pager pagination popup promo promoted promotion related recommended search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+# Within a region a name counts if it has one of the first words, and besides them only of the second.
+SURE_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads adbox advert adverts advertisement advertising breadcrumb breadcrumbs navbar newsletter pager pagination "
+    "share sharing sidebar sponsored".split()
+)
+FILLERS = frozenset(
+    "area article bar block body bottom box button buttons container content div dfp entry footer form google gpt header "
+    "icons inline inner item left links list main meta page post reader right section side signup site slot social thread "
+    "title tools top unit user widget wrap wrapper".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
+# Roles that parts of an article have too.
+INNER_ROLES = frozenset("alert banner form".split())
+
 _NAME = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])|[a-z]+")
 
 
+def _words(names: str) -> set[str]:
+    return {w.lower() for w in _NAME.findall(names)}
+
+
+def _sure(names: list[str], of: frozenset[str]) -> bool:
+    """Whether one of the names says one of the words and nothing else."""
+    return any((words := _words(x)) & of and words <= of | FILLERS for x in names)
+
+
 class _Element:
     __slots__ = ("tag", "skip", "region", "container")
 
@@ -112,25 +137,32 @@ class Lines(HTMLParser):
         if tag in SELF_CLOSING or tag == "body":
             self._end_open(tag)
         top = self.stack[-1]
-        words = set()
         given = dict(attrs)
-        for name in ("class", "id"):
-            words.update(w.lower() for w in _NAME.findall(given.get(name) or ""))
+        names = (given.get("class") or "").split()
+        if not (top.region and tag in HEADINGS):
+            # The identifier of an article's heading is made from its text.
+            names += (given.get("id") or "").split()
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "")
         if tag in REGIONS:
-            skip = hidden or bool(words & COMMENT_WORDS)
+            comments = _sure(names, COMMENT_WORDS)
+            skip = hidden or comments
             if not skip and top.skip and not any(e.skip == "comments" for e in self.stack):
                 # A region within a menu or advert: the end tag of that one is missing.
                 while len(self.stack) > 1 and self.stack[-1].skip:
                     self.stack.pop()
                 top = self.stack[-1]
+        elif top.region:
+            comments = _sure(names, COMMENT_WORDS)
+            skip = hidden or tag in SKIPPED or given.get("role") in ROLES - INNER_ROLES or _sure(names, SURE_WORDS)
         else:
+            words = _words(" ".join(names))
+            comments = bool(words & COMMENT_WORDS)
             skip = (
                 hidden or tag in SKIPPED or given.get("role") in ROLES
                 or tag not in ("body", "html") and bool(words & BOILERPLATE_WORDS)
-                or tag == "header" and not top.region
+                or tag == "header"
             )
-        kind = "comments" if skip and words & COMMENT_WORDS else skip
+        kind = "comments" if skip and comments else skip
         number = top.container
         if tag in CONTAINERS:
             number = len(self.boxes)

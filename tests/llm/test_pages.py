@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -75,6 +77,32 @@ def test_body_with_text_of_its_own():
     assert got.split("\n\n") == [LONG.strip(), LONG.strip(), "One.", "Two.", LONG.strip()]
 
 
+KEPT = {
+    "header with a class": f"<header class='entry-header'><h1>Head</h1></header>{paragraphs(LONG)}",
+    "section of a paper": f"{paragraphs(LONG)}<section id='discussion'><h2>Discussion</h2>{paragraphs(LONG)}</section>",
+    "subjects": paragraphs(LONG) + "".join(
+        f"<div class='{name}'><p>{name}</p></div>"
+        for name in ("notice", "alert alert-info", "search-results", "related-work", "banner", "cookie-recipes", "market-share", "has-sidebar", "promotion", "social", "header")
+    ),
+    "roles": f"{paragraphs(LONG)}<div class='alert' role='alert'><p>Mind this.</p></div>",
+    "heading's identifier": f"{paragraphs(LONG)}<h2 id='newsletter'>Newsletter</h2>{paragraphs(LONG)}",
+}
+
+
+@pytest.mark.parametrize("name", list(KEPT))
+def test_names_within_a_region(name):
+    whole = html_text.main_text(page(f"<article>{KEPT[name]}</article>"))
+    assert whole == html_text.main_text(page("<article>" + re.sub(" (class|id|role)='[^']*'", "", KEPT[name]) + "</article>"))
+    assert html_text.main_text(page(f"<article class='has-comments discussion'>{KEPT[name]}</article>")) == whole
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "advertisement", "share-buttons", "socialShare", "newsletter-signup", "comments", "comment-list", "comment-17", "breadcrumbs", "sidebar", "x ad"])
+def test_names_that_say_one_thing(name):
+    for attribute in ("class", "id"):
+        body = f"<article>{paragraphs(LONG)}<div {attribute}='{name}'>{paragraphs(LONG)}</div><p>End.</p></article>"
+        assert html_text.main_text(page(body)) == LONG.strip() + "\n\nEnd."
+
+
 def test_odd_pages():
     for html in ("", "<", "<p", "plain text only", "</div></p>", "<!--", "<![CDATA[x]]>", "<p>" * 5_000, "x" * 300_000):
         assert isinstance(html_text.main_text(html), str)
