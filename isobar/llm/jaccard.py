@@ -90,7 +90,7 @@ def first_matches(n: int) -> int:
 
 
 def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: a row per document; kind 1: (token, node) lists by bucket; kind 2: counts known already."""
+    """docs: doc_id, text, ref. kind 0: a row per document; kind 1: (token, node) lists by bucket; kind 2: counts known already."""
 
     def run(batches):
         held: list[tuple[int, np.ndarray]] = []
@@ -115,13 +115,13 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
             ends = np.append(cuts[1:], len(to))
             m = len(cuts)
             yield {
-                "kind": [1] * m, "doc_id": [None] * m, "n": [None] * m, "node": [None] * m, "bucket": to[cuts],
+                "kind": [1] * m, "doc_id": [None] * m, "ref": [None] * m, "n": [None] * m, "node": [None] * m, "bucket": to[cuts],
                 "tokens": [(sent[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(cuts, ends)],
                 "nodes": [_packed(whose[a:b]) for a, b in zip(cuts, ends)],
             }
             if len(keys):
                 yield {
-                    "kind": [2], "doc_id": [None], "n": [None], "node": [None], "bucket": [None],
+                    "kind": [2], "doc_id": [None], "ref": [None], "n": [None], "node": [None], "bucket": [None],
                     "tokens": [times.astype(np.int64).tobytes()], "nodes": [keys.tobytes()],
                 }
 
@@ -142,13 +142,13 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
                         held, seen, size = [], set(), 0
             none = [None] * len(sizes)
             yield {
-                "kind": [0] * len(sizes), "doc_id": b.column(0), "n": sizes, "node": nodes, "bucket": none,
-                "tokens": none, "nodes": none,
+                "kind": [0] * len(sizes), "doc_id": b.column(0), "ref": b.column(2), "n": sizes, "node": nodes,
+                "bucket": none, "tokens": none, "nodes": none,
             }
         if held:
             yield from flush()
 
-    return arrow_map(docs, run, "kind int, doc_id long, n long, node long, bucket int, tokens binary, nodes binary")
+    return arrow_map(docs, run, "kind int, doc_id long, ref long, n long, node long, bucket int, tokens binary, nodes binary")
 
 
 def _packed(nodes: np.ndarray) -> bytes:
@@ -409,18 +409,30 @@ def similar_groups(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
+    return _groups(docs, n, percent, id_col, text_col).drop("ref")
+
+
+def _ref(name: Column, text: Column) -> Column:
+    """What stands for the identifier of a row that has none: a hash of the text."""
+    return F.when(name.isNull(), F.xxhash64(text))
+
+
+def _groups(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of docs: doc_id, ref, n_shingles, component_id."""
     spark = docs.sparkSession
-    texts = id_and_text(docs, id_col, text_col)
+    texts = id_and_text(docs, id_col, text_col).withColumn("ref", _ref(F.col("doc_id"), F.col("text")))
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = stage(_first_step(texts, n, percent, buckets), "prefixes")
-    rows = first.where("kind = 0").select("doc_id", "n", "node")
-    classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    rows = first.where("kind = 0").select("doc_id", "ref", "n", "node")
+    classes = rows.where("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min("ref").alias("ref"), F.max("n").alias("n")
+    )
 
     least_n = F.ceil(F.col("n") * percent / 100)
     asked = F.greatest(F.lit(1), F.ceil(least_n / 10))
     short = classes.withColumn("short", F.col("node").bitwiseAND(F.lit(SHORT)))
     open_ = short.join(_shared_counts(first), "short").where(F.col("shared") >= asked)
-    open_ = stage(open_.select("node", F.col("rep").alias("doc_id")), "open")
+    open_ = stage(open_.select("node", F.col("rep").alias("doc_id"), "ref"), "open")
     sets = stage(_whole_sets(texts, open_, n), "sets")
     prefixes = stage(_prefixes(sets, percent), "adaptive")
 
@@ -442,7 +454,7 @@ def similar_groups(
     named = classes.join(linked, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
     # The empty sets have no node and are groups of their own.
     return rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "ref", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
@@ -451,8 +463,14 @@ def _whole_sets(texts: DataFrame, open_: DataFrame, n: int) -> DataFrame:
     """(node, n, tokens) of the nodes left, made anew from the text of one of their documents.
 
     A node whose document's row is repeated is there as often; what follows takes that.
+    Of a node without an identifier the text is found by its hash, and taken once.
     """
-    wanted = texts.join(broadcast_if_small(open_), "doc_id")
+    named = texts.select("doc_id", "text").join(broadcast_if_small(open_.select("node", "doc_id")), "doc_id")
+    wanted = named.select("text", "node")
+    nameless = stage(open_.where("doc_id is null").select("node", "ref"), "nameless")
+    if not nameless.isEmpty():
+        found = texts.where("doc_id is null").join(broadcast_if_small(nameless), "ref")
+        wanted = wanted.union(found.select("text", "node").distinct())
 
     def run(batches):
         for b in batches:
@@ -466,14 +484,17 @@ def _whole_sets(texts: DataFrame, open_: DataFrame, n: int) -> DataFrame:
                     out["tokens"].append(s.view(np.int64))
             yield out
 
-    return arrow_map(wanted.select("text", "node"), run, "node long, n long, tokens array<long>")
+    return arrow_map(wanted, run, "node long, n long, tokens array<long>")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose identifier names their component, with the columns of docs.
 
-    Rows that share an identifier stay or go together.
+    Rows that share an identifier stay or go together; rows without one go by their texts.
     """
-    groups = similar_groups(docs, n, percent, id_col, text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    groups = _groups(docs, n, percent, id_col, text_col)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("_kept"), F.col("ref").alias("_ref")).distinct()
+    name = F.col(f"`{id_col}`").cast("long")
+    ref = _ref(name, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return docs.join(kept, name.eqNullSafe(F.col("_kept")) & ref.eqNullSafe(F.col("_ref")), "left_semi")

@@ -53,6 +53,32 @@ def test_odd_rows(odd, none):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 4, 5, 6, 7, 7, None, 9, 10], key=repr)
 
 
+def test_null_identifiers_are_linked(spark):
+    """A near copy without an identifier, a bridge without one, groups without any, and a repeated one."""
+    words = [[f"{g}x{i}" for i in range(200)] for g in "abcd"]
+    near = lambda g, k: " ".join([f"new{g}{k}"] * k + words[g][k:])
+    rows = [
+        (5, near(0, 0)), (None, near(0, 8)), (None, near(0, 8)),
+        (11, near(1, 0)), (None, near(1, 20)), (12, near(1, 40)),
+        (None, near(2, 0)), (None, near(2, 8)), (None, near(2, 8).upper()),
+        (20, near(3, 0)), (None, "alone and without a name"), (None, None),
+    ]
+    want = brute_groups(rows)
+    assert [r[2] for r in want].count(5) == 3 and [r[2] for r in want].count(11) == 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert groups_of(df) == want
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(df).collect()), key=repr)
+    assert kept == sorted(((k, t) for k, t in rows if k in (5, 11, 20) or k is None and (t, k) not in [(near(0, 8), k), (near(1, 20), k)]), key=repr)
+
+
+@pytest.mark.parametrize("share", [0.3, 1.0])
+def test_no_link_of_null_identifiers_is_lost(spark, share):
+    rng = random.Random(6)
+    rows = [(None if rng.random() < share else k, t) for k, t in near_copies(3, 250)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert groups_of(df) == brute_groups(rows)
+
+
 def near_copies(seed, n):
     """Texts with groups of near copies of many degrees, a shared passage and common words."""
     rng = random.Random(seed)
