@@ -421,10 +421,11 @@ def anomaly_by_baseline(obs: DataFrame, baselines: DataFrame) -> DataFrame:
     )
 
 
-def monthly_summary(obs: DataFrame, from_year: int = 2020) -> DataFrame:
+def monthly_summary(obs: DataFrame, from_year: int = 2020, date: str | None = None) -> DataFrame:
+    """`date` names the date that the year follows from, if it does: the bound then reaches the files."""
     rainy = F.when(F.col("precipitation") > 0, F.lit(1))
     return (
-        year_range(obs, from_year)
+        year_range(obs, from_year, date=date)
         .where(F.col("temp_mean").isNotNull())
         .groupBy("station_id", "country", "month", "year", "region")
         .agg(

@@ -33,21 +33,24 @@ def year_range(
     first: int | None = None,
     last: int | None = None,
     date: str | None = "observation_date",
+    undated: bool = False,
 ) -> DataFrame:
     """first ≤ year ≤ last; either bound may be left out.
 
     A year computed from the date cannot be pushed to the files, a date range
     can; `date` adds the implied range (give None if year and date may differ).
+    With `undated`, rows without a date go by their year alone.
     """
     dated = date in obs.columns
+    loose = F.col(date).isNull() if dated and undated else F.lit(False)
     if first is not None:
         obs = obs.where(F.col("year") >= first)
         if dated:
-            obs = obs.where(F.col(date) >= F.lit(dt.date(first, 1, 1)))
+            obs = obs.where(loose | (F.col(date) >= F.lit(dt.date(first, 1, 1))))
     if last is not None:
         obs = obs.where(F.col("year") <= last)
         if dated:
-            obs = obs.where(F.col(date) <= F.lit(dt.date(last, 12, 31)))
+            obs = obs.where(loose | (F.col(date) <= F.lit(dt.date(last, 12, 31))))
     return obs
 
 
@@ -71,8 +74,11 @@ def partition(obs: DataFrame, year: int, month: int, region: str) -> DataFrame:
     )
 
 
-def by_spec(obs: DataFrame, spec: Mapping[str, object]) -> DataFrame:
-    """Filters such as {'year__gte': 1996, 'country': 'KE'}; unknown ones raise."""
+def by_spec(obs: DataFrame, spec: Mapping[str, object], date: str | None = "observation_date", undated: bool = True) -> DataFrame:
+    """Filters such as {'year__gte': 1996, 'country': 'KE'}; unknown ones raise.
+
+    `date` and `undated` as in `year_range`: give None where years may differ from dates.
+    """
     tests = {
         "exact": lambda c, v: c == v,
         "gte": lambda c, v: c >= v,
@@ -87,7 +93,7 @@ def by_spec(obs: DataFrame, spec: Mapping[str, object]) -> DataFrame:
         if field == "year":
             # The same bound on the date reaches the files.
             first = value if lookup in ("exact", "gte") else None
-            obs = year_range(obs, first, value if lookup in ("exact", "lte") else None)
+            obs = year_range(obs, first, value if lookup in ("exact", "lte") else None, date, undated)
             continue
         conds.append(tests[lookup](F.col(field), F.lit(value)))
     return obs.where(reduce(and_, conds)) if conds else obs

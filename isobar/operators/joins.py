@@ -149,14 +149,15 @@ def rain_vs_salinity(
     )
 
 
-def fact_by_fact(left: DataFrame, right: DataFrame, from_year: int = 2020) -> DataFrame:
+def fact_by_fact(left: DataFrame, right: DataFrame, from_year: int = 2020, date: str | None = None) -> DataFrame:
     """Two fact tables joined on station only, summed up per station.
 
     All pairs of a station would be the product of its row counts. Counts and
     sums over those pairs follow from each side's own sums, so every side is
-    aggregated once and one row per station is joined.
+    aggregated once and one row per station is joined. Where the year follows from
+    a date, `date` names it and the bound reaches the files.
     """
-    a = year_range(left, from_year)
+    a = year_range(left, from_year, date=date)
     a = partial_sums(a, ["station_id"], {"temp": "temp_mean"})
     b = partial_sums(right, ["station_id"], {"rain": "precipitation"})
     a = a.withColumnRenamed("rows", "a_rows")

@@ -41,14 +41,16 @@ def sst_anomaly(
     max_group_rows: int = GROUP_ROWS,
     block_rows: int = 1_000_000,
     keep: Sequence[str] = (),
+    date: str | None = None,
 ) -> DataFrame:
     """Sea-surface temperature against the mean of the station's `back` rows before.
 
     A station's first row has no past and gives NULL. Ordinary stations take
     one shuffle; stations above `max_group_rows` are numbered by a range
     shuffle and cut into blocks that carry the `back` rows before them.
+    Where the year follows from a date, `date` names it and the bound reaches the files.
     """
-    rows = year_range(fact, from_year).where(F.col("sea_surface_temp").isNotNull()).select(
+    rows = year_range(fact, from_year, date=date).where(F.col("sea_surface_temp").isNotNull()).select(
         "station_id", "observation_date", "sea_surface_temp", *tie, *keep
     )
     order = [F.col("observation_date"), *[F.col(c) for c in tie]]

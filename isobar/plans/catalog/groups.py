@@ -387,7 +387,7 @@ def anomaly_baseline(t):
     ),
 )
 def monthly_summary(t):
-    rows = A.monthly_summary(t.obs, 1996)
+    rows = A.monthly_summary(t.obs, 1996, "observation_date")
     return rounded(rounded(rows, 6, "avg_temperature", "avg_sst", "avg_salinity"), 2, "total_precipitation")
 
 

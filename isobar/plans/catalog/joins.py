@@ -110,7 +110,7 @@ def rain_vs_salinity(t):
     ),
 )
 def join_fact_fact(t):
-    out = joins.fact_by_fact(t.fact, t.fact, 1998)
+    out = joins.fact_by_fact(t.fact, t.fact, 1998, "observation_date")
     return rounded(rounded(out, 1, "sum_temp", "sum_precip"), 4, "avg_temp", "avg_precip")
 
 

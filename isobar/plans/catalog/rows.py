@@ -97,7 +97,7 @@ def filter_by_spec(t):
         "is_coastal": True,
         "data_quality": "good",
     }
-    return filters.by_spec(t.obs, spec).select(
+    return filters.by_spec(t.obs, spec, undated=False).select(
         "k1", "k2", "k3", "station_id", "country", "year", "data_quality"
     )
 

@@ -33,7 +33,7 @@ def sst_anomaly(t):
 @query("sst_anomaly_rows", with_views("fact", ANOMALY_SQL))
 def sst_anomaly_rows(t):
     """The anomaly of every coastal row, without the report's limit."""
-    return windows.sst_anomaly(t.fact, TIE, 1996).select(*ANOMALY_COLUMNS)
+    return windows.sst_anomaly(t.fact, TIE, 1996, date="observation_date").select(*ANOMALY_COLUMNS)
 
 
 @query(

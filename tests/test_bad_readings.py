@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isobar import schemas
 from isobar.functions.columns import finite, stable_round, units
-from isobar.operators import clean, filters, joins, ordering, upsert
+from isobar.operators import aggregates, clean, filters, joins, ordering, upsert, windows
 from isobar.plans import sync
 from isobar.session import work_path, work_table
 from isobar.sources import files, tables
@@ -128,3 +128,19 @@ def test_reloads_write_no_more_files_than_the_create(spark):
     assert count() <= 2 * before
     assert tables.bucket_spec(spark, name) == (4, "station_id")
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_years_that_differ_from_the_date(spark):
+    rows = [
+        ("a", "KE", "R", 2021, 1, None, 1.0, 20.0, 1.0), ("a", "KE", "R", 2021, 2, dt.date(2019, 5, 1), 1.0, 21.0, 1.0),
+        ("a", "KE", "R", 2021, 3, dt.date(2021, 3, 1), 1.0, 22.0, 1.0), ("a", "KE", "R", 2019, 3, dt.date(2021, 3, 1), 1.0, 22.0, 1.0),
+    ]
+    obs = spark.createDataFrame(
+        rows, "station_id string, country string, region string, year int, month int, observation_date date, "
+        "temp_mean double, sea_surface_temp double, precipitation double",
+    ).withColumns({c: F.lit(1.0) for c in ("temp_max", "temp_min", "ocean_salinity")})
+    assert filters.by_spec(obs, {"year": 2021}).count() == 2
+    assert filters.by_spec(obs, {"year": 2021}, date=None).count() == 3
+    assert joins.fact_by_fact(obs, obs, 2021).first().pairs == 3 * 4
+    assert windows.sst_anomaly(obs, [], 2021).count() == 3
+    assert aggregates.monthly_summary(obs, 2021).count() == 3
