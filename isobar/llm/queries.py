@@ -10,7 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, exact_dedup, html_text, jaccard, merge_replay, packing, repair, ring, token_counts, toxicity
+from isobar.llm import (
+    ann,
+    exact_dedup,
+    fim,
+    html_text,
+    jaccard,
+    merge_replay,
+    packing,
+    repair,
+    ring,
+    token_counts,
+    toxicity,
+)
 from isobar.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +118,44 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, window=1024).drop("ids")
 
 
+@_query
+def op13_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents"), seed=1, rate=90, spm_rate=20)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_swar_fim"] = """
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS body, sha256('1:' || doc_id) AS h,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+    FROM documents
+), d AS (
+    SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+           ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM t
+), c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS x, greatest(h1 % (n + 1), h2 % (n + 1)) AS y,
+           CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 % 100 >= 90
+                THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), s AS (
+    SELECT *, array_to_string(units[1:x], '') AS a, array_to_string(units[x + 1:y], '') AS b,
+           array_to_string(units[y + 1:], '') AS z
+    FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+                        ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM s
+"""
+
+
 def _pipeline() -> None:
     import corpus_pipeline
 

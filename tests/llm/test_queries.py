@@ -44,12 +44,13 @@ def library(name):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
-def test_exact_dedup(spark, con):
-    assert compare(spark, con, "op1_exact_dedup", FOLDER) == []
+@pytest.mark.parametrize("name", sorted(entry._text.ORACLES))
+def test_against_sql(spark, con, name):
+    assert compare(spark, con, name, FOLDER) == []
 
 
 def test_token_files(spark, docs):
