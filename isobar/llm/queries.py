@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from isobar.llm import (
     ann,
+    divergence,
     exact_dedup,
     fim,
     html_text,
@@ -118,6 +119,51 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, window=1024).drop("ids")
 
 
+@_query
+def op11_count_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+ORACLES["op11_count_cells"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+    FROM documents
+), words AS (
+    SELECT d, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), size AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), used AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), total AS (SELECT lang, source, sum(n) AS total FROM used GROUP BY lang, source
+), every AS (
+    SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 1)) // (coalesce(t.total, 0) + s.v) AS p,
+           1 + (1000000000::HUGEINT * (k.lang_n + 1)) // (s.lang_total + s.v) AS q
+    FROM groups g JOIN size s ON g.lang = s.lang JOIN kept k ON g.lang = k.lang
+    LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+    LEFT JOIN total t ON t.lang = g.lang AND t.source = g.source
+), far AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM every a JOIN every b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+    FROM every WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 200
+""".replace("\\\\x", "\\x")
+
+
 @_query
 def op13_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fim.transform(table(spark, sf_dir, "documents"), seed=1, rate=90, spm_rate=20)
