@@ -18,6 +18,7 @@ from isobar.llm import (
     html_text,
     jaccard,
     merge_replay,
+    multiset,
     packing,
     repair,
     ring,
@@ -161,7 +162,65 @@ SELECT lang, source, part, item, value,
        row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
 FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
 QUALIFY part = 'pair' OR rank <= 200
-""".replace("\\\\x", "\\x")
+"""
+
+
+@_query
+def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.compare_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        multiset.printed(F.col("fp")).alias("fingerprint"),
+        multiset.printed(F.col("edited_fp")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+# Bit b of 64-bit word i of a digest is counted in lane b // 16 of long 16 * i + b % 16.
+ORACLES["op12_multiset_hash"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents
+), turn AS (
+    SELECT doc_id, body, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id,
+           coalesce(lead(body) OVER w, first_value(body) OVER w) AS after
+    FROM docs WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), texts AS (
+    SELECT doc_id, next_id, body, left(body, length(body) - length(body) // 2) || left(after, length(body) // 2) AS edited
+    FROM turn
+), parts AS (
+    SELECT doc_id, kind, unnest(regexp_extract_all(t, '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS part
+    FROM (SELECT doc_id, 'own' AS kind, body AS t FROM docs UNION ALL SELECT doc_id, 'edited', edited FROM texts)
+), digests AS (SELECT doc_id, kind, sha256(part) AS h, count(*) AS m FROM parts GROUP BY ALL
+), counts AS (SELECT doc_id, kind, sum(m)::BIGINT AS n FROM digests GROUP BY ALL
+), bits AS (
+    SELECT doc_id, kind, i, b, sum(m * ((('0x' || h[16 * i + 16 - b // 4:16 * i + 16 - b // 4])::BIGINT >> (b % 4)) & 1))::BIGINT AS c
+    FROM digests, range(4) w(i), range(64) x(b) GROUP BY ALL
+), every AS (
+    SELECT t.doc_id, k.kind, w.i, x.b, coalesce(c.c, 0) % 16384 AS c, coalesce(n.n, 0) % 16384 AS n
+    FROM docs t, (VALUES ('own'), ('edited')) k(kind), range(4) w(i), range(64) x(b)
+    LEFT JOIN bits c ON c.doc_id = t.doc_id AND c.kind = k.kind AND c.i = w.i AND c.b = x.b
+    LEFT JOIN counts n ON n.doc_id = t.doc_id AND n.kind = k.kind
+), prints AS (
+    SELECT doc_id, kind, string_agg(printf('%04X', c), '' ORDER BY i, b % 16, b // 16 DESC) || printf('%016X', max(n)) AS fp,
+           list(((2 * c - n + 8192 + 16384) % 16384 - 8192) ORDER BY i, b) AS s
+    FROM every GROUP BY doc_id, kind
+), near AS (
+    SELECT t.doc_id, t.body, t.edited, p.fp, e.fp AS edited_fp,
+           list_sum(list_transform(range(1, 257), lambda k: p.s[k] * e.s[k])) AS pe,
+           list_sum(list_transform(range(1, 257), lambda k: p.s[k] * o.s[k])) AS po,
+           list_sum(list_transform(range(1, 257), lambda k: p.s[k] * p.s[k])) AS pp,
+           list_sum(list_transform(range(1, 257), lambda k: e.s[k] * e.s[k])) AS ee,
+           list_sum(list_transform(range(1, 257), lambda k: o.s[k] * o.s[k])) AS oo, o.fp AS next_fp
+    FROM texts t JOIN prints p ON p.doc_id = t.doc_id AND p.kind = 'own'
+    JOIN prints e ON e.doc_id = t.doc_id AND e.kind = 'edited'
+    JOIN prints o ON o.doc_id = t.next_id AND o.kind = 'own'
+)
+SELECT doc_id, length(body) AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint, edited_fp AS edited_fingerprint,
+       CASE WHEN fp = edited_fp THEN 1.0::DOUBLE ELSE coalesce(greatest(2 * pe, 0)::DOUBLE / nullif(pp + ee, 0)::DOUBLE, 0) END AS near_edited,
+       CASE WHEN fp = next_fp THEN 1.0::DOUBLE ELSE coalesce(greatest(2 * po, 0)::DOUBLE / nullif(pp + oo, 0)::DOUBLE, 0) END AS near_next
+FROM near
+"""
 
 
 @_query
