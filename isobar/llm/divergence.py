@@ -11,8 +11,8 @@ are grouped by (count in the group, count in the language): a cell with as many
 fall in it. For the strongest terms, cells are evaluated, those of equal value merged, and
 values ranked by the number of terms above them; only cells that reach into the first
 `top` ranks are expanded into terms, in UTF-8 order. For two sources the cells are (count
-here, count there) with signed multiplicities: cells without a term on one side follow
-from those of each source alone, so only terms that both have are ever met together.
+here, count there): those with a count of 0 follow from the cells of each source alone,
+so only terms that both have are ever met together.
 
 Occurrences are counted per task in bounded tables before they are shuffled, first by
 (lang, source, term), then by (lang, term): a row then holds the sources of one term. All
@@ -39,7 +39,7 @@ from isobar.llm.base import arrow_map, stage
 
 SCALE = 1_000_000_000
 #: Entries a task holds before it hands them on.
-ENTRIES = 250_000
+ENTRIES = 500_000
 SLICE_BYTES = 1 << 20
 COUNTS = "lang string, source string, term string, n long, docs long"
 
@@ -123,15 +123,18 @@ def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
 
 
 def _share(count: str | Column, total: str, terms: str) -> Column:
-    """p of a count, exactly."""
+    """p of a count, exactly; counts whose scaled form needs more than 64 bits take decimals."""
     count = F.col(count) if isinstance(count, str) else count
+    whole = F.col(total) + F.col(terms)
+    narrow = F.call_function("div", F.lit(SCALE).cast("long") * (count + 1), whole)
     scaled = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)")
-    return F.call_function("div", scaled, (F.col(total) + F.col(terms)).cast("decimal(20,0)")) + 1
+    wide = F.call_function("div", scaled, whole.cast("decimal(20,0)"))
+    return F.when(count < 1 << 33, narrow).otherwise(wide) + 1
 
 
-def _differ(p: str, q: str) -> Column:
-    d = F.col(p) - F.col(q)
-    return F.call_function("div", d * d, F.col(q))
+def _differ(p: str | Column, q: str | Column) -> Column:
+    p, q = (F.col(x) if isinstance(x, str) else x for x in (p, q))
+    return F.call_function("div", (p - q) * (p - q), q)
 
 
 def _ranked(rows: DataFrame, top: int | None = None) -> DataFrame:
@@ -140,12 +143,18 @@ def _ranked(rows: DataFrame, top: int | None = None) -> DataFrame:
     return out if top is None else out.where(F.col("rank") <= top)
 
 
-def strongest_terms(kept: DataFrame, groups: DataFrame, top: int) -> DataFrame:
+def count_cells(kept: DataFrame) -> DataFrame:
+    """(lang, source, n, lang_n, terms): how many terms of a group share both counts."""
+    held = kept.select("lang", "lang_n", F.explode("held").alias("h"))
+    return held.groupBy("lang", F.col("h.source").alias("source"), F.col("h.n").alias("n"), "lang_n").agg(
+        F.count("*").alias("terms")
+    )
+
+
+def strongest_terms(kept: DataFrame, cells: DataFrame, groups: DataFrame, top: int) -> DataFrame:
     """(lang, source, item, value, rank): terms more frequent in a group than in its language."""
-    held = kept.select("lang", "term", "lang_n", F.explode("held").alias("h"))
-    held = held.select("lang", "term", "lang_n", "h.source", "h.n")
     cell = ["lang", "source", "n", "lang_n"]
-    cells = held.groupBy(*cell).agg(F.count("*").alias("terms")).join(groups, ["lang", "source"])
+    cells = cells.join(groups, ["lang", "source"])
     cells = cells.withColumns({"p": _share("n", "total", "v"), "q": _share("lang_n", "lang_total", "v")})
     cells = cells.where("p > q").select(*cell, "terms", _differ("p", "q").alias("value"))
     values = cells.groupBy("lang", "source", "value").agg(F.sum("terms").alias("terms"))
@@ -156,60 +165,58 @@ def strongest_terms(kept: DataFrame, groups: DataFrame, top: int) -> DataFrame:
     reach = values.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < top)
     least = reach.groupBy("lang", "source").agg(F.min("value").alias("least"))
     cells = cells.join(least, ["lang", "source"]).where("value >= least").select(*cell, "value")
+    held = kept.select("lang", "term", "lang_n", F.explode("held").alias("h"))
+    held = held.select("lang", "term", "lang_n", "h.source", "h.n")
     rows = held.join(cells, cell).select("lang", "source", F.col("term").alias("item"), "value")
     return _ranked(rows, top)
 
 
-def _pair_cells(kept: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(lang, source, item, a, b, m): m terms have a occurrences in the source and b in the item.
+def source_pairs(kept: DataFrame, cells: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, source, item, value, rank): divergence of every source from every other of its language.
 
-    Multiplicities may be negative: terms that both have are taken out of the cells
-    that each source's terms fill alone, and those out of the cell (0, 0) of all V terms.
+    The sum over all V terms is V * f(0, 0), plus what each source's own terms change in
+    it, plus what the terms of both change once more.
     """
-    first = kept.select("lang", F.explode("held").alias("x"), "held")
-    both = first.select("lang", "x", F.explode("held").alias("y")).where("x.source < y.source")
+    zero = F.lit(0).cast("long")
+    size = groups.select("lang", "source", "total", "v", _share(zero, "total", "v").alias("p0")).where("v > 0")
+    other = size.select("lang", *[F.col(c).alias(f"{c}_") for c in ("source", "total", "p0")])
+    pairs = size.join(other, "lang").where("source <> source_")
+    alone = cells.groupBy("lang", "source", "n").agg(F.sum("terms").alias("m"))
+    alone = alone.join(size.select("lang", "source", "total", "v"), ["lang", "source"])
+    alone = alone.select("lang", "source", "m", _share("n", "total", "v").alias("p"))
+    sides = kept.select("lang", F.explode("held").alias("x"), "held")
+    both = sides.select("lang", "x", F.explode("held").alias("y")).where("x.source < y.source")
     both = both.groupBy(
-        "lang", F.col("x.source").alias("s"), F.col("y.source").alias("t"), F.col("x.n").alias("a"), F.col("y.n").alias("b")
+        "lang", F.col("x.source").alias("source"), F.col("y.source").alias("source_"), F.col("x.n").alias("a"), F.col("y.n").alias("b")
     ).agg(F.count("*").alias("m"))
-    turned = F.inline(
-        F.array(
-            F.struct(F.col("s").alias("source"), F.col("t").alias("item"), "a", "b"),
-            F.struct(F.col("t").alias("source"), F.col("s").alias("item"), F.col("b").alias("a"), F.col("a").alias("b")),
-        )
-    )
-    both = both.select("lang", "m", turned)
-    none = F.lit(0).cast("long")
-    alone = first.groupBy("lang", F.col("x.source").alias("source"), F.col("x.n").alias("n")).agg(F.count("*").alias("m"))
-    here = pairs.join(alone, ["lang", "source"])
-    there = pairs.join(alone.withColumnRenamed("source", "item"), ["lang", "item"])
+    both = both.join(pairs, ["lang", "source", "source_"])
+    both = both.withColumns({"p": _share("a", "total", "v"), "p_": _share("b", "total_", "v")})
 
-    def cells(df, *signed):
-        parts = [F.struct(a.alias("a"), b.alias("b"), (F.col("m") * sign).alias("m")) for a, b, sign in signed]
-        return df.select("lang", "source", "item", F.inline(F.array(*parts)))
+    def times(m, *signed):
+        """m * (f - f ...) in 38 digits."""
+        return sum((f.cast("decimal(19,0)") * s for f, s in signed), F.lit(0).cast("decimal(19,0)")).cast("decimal(22,0)") * F.col(m).cast("decimal(16,0)")
 
-    a, b, n = F.col("a"), F.col("b"), F.col("n")
-    return (
-        cells(both, (a, b, 1), (a, none, -1), (none, b, -1), (none, none, 1))
-        .union(cells(here, (n, none, 1), (none, none, -1)))
-        .union(cells(there, (none, n, 1), (none, none, -1)))
-        .union(pairs.select("lang", "source", "item", none, none, "v"))
-        .groupBy("lang", "source", "item", "a", "b")
-        .agg(F.sum("m").alias("m"))
-        .where("m <> 0")
-    )
+    def change(p, p0, q, q0):
+        return times("m", (_differ(p, q), 1), (_differ(p, q0), -1), (_differ(p0, q), -1), (_differ(p0, q0), 1))
 
+    def part(source, item, value):
+        return F.struct(F.col(source).alias("source"), F.col(item).alias("item"), value.alias("value"))
 
-def source_pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, source, item, value, rank): divergence of every source from every other of its language."""
-    other = groups.select("lang", F.col("source").alias("item"), F.col("total").alias("item_total"))
-    pairs = groups.select("lang", "source", "total", "v").join(other, "lang").where("source <> item")
-    cells = _pair_cells(kept, pairs).join(pairs, ["lang", "source", "item"])
-    cells = cells.withColumns({"p": _share("a", "total", "v"), "q": _share("b", "item_total", "v")})
-    wide = _differ("p", "q").cast("decimal(19,0)") * F.col("m").cast("decimal(19,0)")
-    sums = cells.groupBy("lang", "source", "item").agg(F.sum(wide).cast("long").alias("value"))
-    # Languages without kept terms have no cells.
-    rows = pairs.select("lang", "source", "item").join(sums, ["lang", "source", "item"], "left")
-    return _ranked(rows.withColumn("value", F.coalesce("value", F.lit(0).cast("long"))))
+    met = F.array(
+        part("source", "source_", change("p", "p0", "p_", "p0_")), part("source_", "source", change("p_", "p0_", "p", "p0"))
+    )
+    own = alone.join(pairs.select("lang", "source", "source_", "p0", "p0_"), ["lang", "source"])
+    own = own.select("lang", F.inline(F.array(
+        part("source", "source_", times("m", (_differ("p", "p0_"), 1), (_differ("p0", "p0_"), -1))),
+        part("source_", "source", times("m", (_differ("p0_", "p"), 1), (_differ("p0_", "p0"), -1))),
+    )))
+    base = pairs.select("lang", "source", F.col("source_").alias("item"), times("v", (_differ("p0", "p0_"), 1)).alias("value"))
+    parts = both.select("lang", F.inline(met)).union(own).union(base)
+    sums = parts.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
+    # Languages without kept terms have nothing to sum.
+    every = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang")
+    rows = every.where("source <> item").join(sums, ["lang", "source", "item"], "left")
+    return _ranked(rows.withColumn("value", F.coalesce("value", zero)))
 
 
 def audit(
@@ -227,8 +234,8 @@ def audit(
         for c, name in ((lang_col, "lang"), (source_col, "source"))
     ]
     occurring = docs.select(*named).distinct()
-    totals = kept.select("lang", F.explode("held").alias("h")).groupBy("lang", F.col("h.source").alias("source"))
-    totals = totals.agg(F.sum("h.n").alias("total"))
+    cells = stage(count_cells(kept), "count-cells")
+    totals = cells.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("terms")).alias("total"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     zero = F.lit(0).cast("long")
     groups = stage(
@@ -238,6 +245,6 @@ def audit(
         "groups",
     )
     columns = ["lang", "source", "part", "item", "value", "rank"]
-    pairs = source_pairs(kept, groups).withColumn("part", F.lit("pair")).select(*columns)
-    terms = strongest_terms(kept, groups, top).withColumn("part", F.lit("term")).select(*columns)
+    pairs = source_pairs(kept, cells, groups).withColumn("part", F.lit("pair")).select(*columns)
+    terms = strongest_terms(kept, cells, groups, top).withColumn("part", F.lit("term")).select(*columns)
     return pairs.unionByName(terms)

@@ -83,13 +83,14 @@ def test_counts_do_not_overflow(spark):
         [("en", "s", big, 2, big + 12), ("en", "t", 12, 2, big + 12)],
         "lang string, source string, total long, v long, lang_total long",
     )
+    cells = divergence.count_cells(kept)
     p = lambda n, total: 1 + 10**9 * (n + 1) // (total + 2)
     s, t = [p(big, big), p(0, big)], [p(5, 12), p(7, 12)]
     q = [p(big + 5, big + 12), p(7, big + 12)]
     far = lambda x, y: sum((a - b) ** 2 // b for a, b in zip(x, y))
-    got = {(r.source, r["value"]) for r in divergence.source_pairs(kept, groups).collect()}
+    got = {(r.source, r["value"]) for r in divergence.source_pairs(kept, cells, groups).collect()}
     assert got == {("s", far(s, t)), ("t", far(t, s))}
-    got = {(r.source, r["item"], r["value"]) for r in divergence.strongest_terms(kept, groups, 5).collect()}
+    got = {(r.source, r["item"], r["value"]) for r in divergence.strongest_terms(kept, cells, groups, 5).collect()}
     want = {("t", "b", (t[1] - q[1]) ** 2 // q[1])}
     if s[0] > q[0]:
         want.add(("s", "a", (s[0] - q[0]) ** 2 // q[0]))
