@@ -40,8 +40,8 @@ LANES = 256
 WORDS = LANES // 64
 PARAGRAPHS = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
 #: Bytes of text and number of rows a block should hold, and the number of blocks at most.
-BLOCK_BYTES = 32 << 20
-BLOCK_ROWS = 200_000
+BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 50_000
 BLOCKS = 1 << 16
 
 BITS = 14
