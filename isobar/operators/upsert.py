@@ -110,7 +110,7 @@ def touched_partitions(target: DataFrame, incoming: DataFrame, parts: Sequence[s
     return target.where(cond)
 
 
-def upsert_table(
+def staged_upsert(
     spark: SparkSession,
     table: str,
     incoming: DataFrame,
@@ -118,21 +118,36 @@ def upsert_table(
     update_cols: Sequence[str],
     parts: Sequence[str] = ("year", "region"),
     order: Sequence[Column] = (),
-    entity: str = "observations",
 ) -> DataFrame:
-    """Upsert into a partitioned table, rewriting touched partitions only.
+    """The touched partitions of a table as they will be, with actions, written to the shared folder.
 
     The partition columns must follow from the key (year from the date, region
-    from the station): a key then lies in one partition. The merged rows are
-    staged first, since a table cannot be overwritten while it is read; the
-    counts are taken from the staged rows.
+    from the station): a key then lies in one partition. Nothing is published yet.
     """
     if order:
         incoming = first_per_key(incoming, keys, order)
     old = touched_partitions(spark.table(table), incoming, parts)
     stage = work_path(spark, "stage")
     merge_flagged(old, incoming, keys, update_cols).write.parquet(stage)
-    staged = spark.read.parquet(stage)
+    return spark.read.parquet(stage)
+
+
+def upsert_table(
+    spark: SparkSession,
+    table: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    parts: Sequence[str] = ("year", "region"),
+    order: Sequence[Column] = (),
+    entity: str = "observations",
+) -> DataFrame:
+    """Upsert into a partitioned table, rewriting touched partitions only.
+
+    The merged rows are staged first, since a table cannot be overwritten while it
+    is read; the counts are taken from the staged rows.
+    """
+    staged = staged_upsert(spark, table, incoming, keys, update_cols, parts, order)
     overwrite_partitions(staged.drop("action"), table)
     return action_counts(staged, entity)
 
@@ -145,8 +160,10 @@ def log_load(
     start: dt.datetime,
     end: dt.datetime,
     status: str = "completed",
+    load_id: str | None = None,
+    newest: dt.date | None = None,
 ) -> None:
-    """Append the counts of a load to the load log."""
+    """Append the counts of a load to the load log; `newest` is the last day it carried."""
     rows = counts.select(
         "entity",
         F.lit(source).alias("source"),
@@ -157,12 +174,28 @@ def log_load(
         "updated",
         "skipped",
         "errors",
+        F.lit(load_id).cast("string").alias("load_id"),
+        F.lit(newest).cast("date").alias("newest"),
     )
     if not spark.catalog.tableExists(table):
         spark.createDataFrame([], schemas.LOAD_LOG).write.format("parquet").saveAsTable(table)
     append_rows(rows, table)
 
 
+def completed_loads(spark: SparkSession, table: str, source: str) -> DataFrame | None:
+    """Logged loads of a source that came to their end; None without a log."""
+    if not spark.catalog.tableExists(table):
+        return None
+    spark.catalog.refreshTable(table)
+    return spark.table(table).where((F.col("source") == source) & (F.col("status") == "completed"))
+
+
+def high_water(spark: SparkSession, table: str, source: str) -> dt.date | None:
+    """The newest day any completed load of the source carried, by the load log."""
+    done = completed_loads(spark, table, source)
+    return None if done is None else done.agg(F.max("newest")).first()[0]
+
+
 def defaults(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """Add columns the frame lacks."""
     return df.withColumns({c: v for c, v in values.items() if c not in df.columns})

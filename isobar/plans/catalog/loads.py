@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from isobar.operators import upsert
@@ -414,6 +416,51 @@ def load_log(t):
     )
 
 
+WINDOWS = [(dt.date(1996, 1, 1), dt.date(1998, 6, 30)), (None, dt.date(1995, 12, 31))]
+
+
+def _synced_by_windows(t):
+    """Two windows of dates, the later first; one of them again; then all since the newest day."""
+    names, regions = _sync_tables(t)
+    arriving = t.obs.where("k2 >= 3")
+    for n in (0, 1, 0):
+        start, end = WINDOWS[n]
+        sync.publish_sync(t.spark, names, regions, arriving, _order(), start=start, end=end, load_id=f"window {n}")
+    sync.sync_since(t.spark, names, regions, arriving, _order(), overlap_days=30, load_id="rest")
+    return names
+
+
+@query(
+    "sync_incremental",
+    with_views("stations fact", f"WITH {ALL_SIDES} SELECT {_merge_select()} {FULL_JOIN}"),
+)
+def sync_incremental(t):
+    """The observation table after loads by date windows: as after one full sync."""
+    return t.spark.table(_synced_by_windows(t).observations).select(*MERGED)
+
+
+@query(
+    "sync_marks",
+    with_views(
+        "stations fact",
+        f"""WITH {ALL_SIDES}, mark AS (SELECT max(observation_date) AS day FROM incoming WHERE observation_date <= DATE '1998-06-30'),
+       came AS (SELECT i.observation_date, t.station_id IS NOT NULL AS there FROM incoming i LEFT JOIN target t
+                ON t.station_id = i.station_id AND t.observation_date = i.observation_date),
+       part AS (SELECT 'window 0' AS load_id, observation_date, there FROM came WHERE observation_date BETWEEN DATE '1996-01-01' AND DATE '1998-06-30'
+                UNION ALL SELECT 'window 1', observation_date, there FROM came WHERE observation_date <= DATE '1995-12-31'
+                UNION ALL SELECT 'rest', observation_date, there OR observation_date <= mark.day FROM came, mark
+                          WHERE observation_date >= mark.day - INTERVAL 30 DAY)
+  SELECT load_id, 'completed' AS status, CAST(max(observation_date) AS DATE) AS newest,
+         count(*) FILTER (NOT there) AS created, count(*) FILTER (there) AS updated
+  FROM part GROUP BY load_id""",
+    ),
+)
+def sync_marks(t):
+    """What the load log says of the observations of those loads: the repeated one is not in it."""
+    log = t.spark.table(_synced_by_windows(t).log).where("entity = 'observations'")
+    return log.select("load_id", "status", "newest", "created", "updated")
+
+
 @query(
     "station_rejects",
     with_views(

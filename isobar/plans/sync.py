@@ -16,7 +16,16 @@ from isobar.operators.clean import coerce_observations, coerce_stations, split_r
 from isobar.operators.filters import date_range
 from isobar.operators.joins import match_region, split_known
 from isobar.operators.ordering import newest, union_all
-from isobar.operators.upsert import action_counts, defaults, first_per_key, log_load, merge_flagged, upsert_table
+from isobar.operators.upsert import (
+    action_counts,
+    completed_loads,
+    defaults,
+    first_per_key,
+    high_water,
+    log_load,
+    merge_flagged,
+    staged_upsert,
+)
 from isobar.session import work_path
 from isobar.sources import tables
 from isobar.sources.files import read_text_columns
@@ -199,6 +208,11 @@ class SyncTables:
     log: str
 
 
+#: What a load log calls these loads.
+SYNC = "sync"
+NO_COUNTS = "entity string, created long, updated long, skipped long, errors long"
+
+
 def publish_sync(
     spark: SparkSession,
     names: SyncTables,
@@ -207,36 +221,99 @@ def publish_sync(
     order: Sequence[Column],
     rejects: DataFrame | None = None,
     parts: Sequence[str] = ("year",),
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    limit: int | None = None,
+    tie: Sequence[str] = (),
+    load_id: str | None = None,
 ) -> DataFrame:
     """Regions, stations and observations merged into their tables; gives the counts, which the log gets too.
 
+    Only observations from `start` to `end` are taken, both inclusive, and of those the
+    newest `limit` under (date, tie). A load whose `load_id` the log has as completed
+    does nothing and counts nothing. With windows or a limit, stations stay coastal once
+    they were: a window need not hold a sea reading. Windows that do not overlap then give the
+    same tables in any order, as long as a station's attributes do not differ between them.
+
     Region texts that match no region become regions of their own before the stations
     that name them are published. Observations rewrite touched partitions only; `parts`
     must follow from the key. `rejects` are rows a loader refused, counted as errors.
+
+    Everything is worked out and staged before the first table is replaced. A load that
+    fails is logged as failed, and raises.
     """
-    start = dt.datetime.now()
+    if load_id is not None:
+        done = completed_loads(spark, names.log, SYNC)
+        if done is not None and not done.where(F.col("load_id") == load_id).isEmpty():
+            return spark.createDataFrame([(e, 0, 0, 0, 0) for e in ("regions", "stations", "observations")], NO_COUNTS)
+    began = dt.datetime.now()
+    rows = date_range(source, start, end)
+    if limit is not None:
+        if not tie:
+            raise ValueError("a limit needs `tie` columns that tell rows of a day apart")
+        rows = newest(rows, limit, tie)
+    partial = (start, end, limit) != (None, None, None)
+    try:
+        counts, last = _publish(spark, names, regions, rows, order, rejects, parts, partial)
+    except Exception:
+        nothing = spark.createDataFrame([("observations", 0, 0, 0, 0)], NO_COUNTS)
+        log_load(spark, names.log, nothing, SYNC, began, dt.datetime.now(), "failed", load_id)
+        raise
+    log_load(spark, names.log, counts, SYNC, began, dt.datetime.now(), "completed", load_id, last)
+    return counts
+
+
+def _publish(spark, names, regions, source, order, rejects, parts, partial) -> tuple[DataFrame, dt.date | None]:
+    """(counts, newest day that arrived)."""
     merged = _staged(sync_regions(spark.table(names.regions), regions), "regions")
-    found = sync_stations(source, spark.table(names.stations), merged.drop("action"))
+    before = spark.table(names.stations)
+    found = sync_stations(source, before, merged.drop("action"))
     made = found.new_regions.withColumn("action", F.lit("created"))
     merged = _staged(merged.unionByName(made), "regions")
-    stations = _staged(found.stations, "stations")
-    tables.load_table(merged.drop("action"), names.regions)
-    tables.load_table(stations.drop("action"), names.stations)
+    stations = found.stations
+    if partial:
+        was = before.where("is_coastal").select("station_id", F.lit(True).alias("_was"))
+        stations = stations.join(was, "station_id", "left")
+        stations = stations.withColumn("is_coastal", F.col("is_coastal") | F.coalesce("_was", F.lit(False))).drop("_was")
+    stations = _staged(stations, "stations")
 
     known, skipped = known_observations(source, stations)
     target = spark.table(names.observations)
     # The order may name columns that the table does not have.
     known = first_per_key(known, OBSERVATION_KEY, order).select(*target.columns)
-    written = upsert_table(spark, names.observations, known, OBSERVATION_KEY, schemas.MEASURES, parts)
+    ready = staged_upsert(spark, names.observations, known, OBSERVATION_KEY, schemas.MEASURES, parts)
     lost = skipped.agg(F.count("*")).first()[0]
     refused = rejects.agg(F.count("*")).first()[0] if rejects is not None else 0
-    written = written.withColumns({"skipped": F.lit(lost).cast("long"), "errors": F.lit(refused).cast("long")})
-    # Three rows, staged so that the log and the caller see the same counts.
-    counts = _staged(
-        union_all(action_counts(merged, "regions"), action_counts(stations, "stations"), written), "counts"
+    last = source.agg(F.max("observation_date")).first()[0]
+
+    tables.load_table(merged.drop("action"), names.regions)
+    tables.load_table(stations.drop("action"), names.stations)
+    tables.overwrite_partitions(ready.drop("action"), names.observations)
+    written = action_counts(ready, "observations").withColumns(
+        {"skipped": F.lit(lost).cast("long"), "errors": F.lit(refused).cast("long")}
     )
-    log_load(spark, names.log, counts, "sync", start, dt.datetime.now())
-    return counts
+    # Three rows, staged so that the log and the caller see the same counts.
+    counts = union_all(action_counts(merged, "regions"), action_counts(stations, "stations"), written)
+    return _staged(counts, "counts"), last
+
+
+def sync_since(
+    spark: SparkSession,
+    names: SyncTables,
+    regions: DataFrame,
+    source: DataFrame,
+    order: Sequence[Column],
+    overlap_days: int = 30,
+    **options,
+) -> DataFrame:
+    """publish_sync of what is new: from the newest day the load log knows, less an overlap.
+
+    Readings that are delivered late lie in the overlap and are merged again; what has
+    not changed is written as it is. Without a completed load everything is taken.
+    """
+    mark = high_water(spark, names.log, SYNC)
+    start = None if mark is None else mark - dt.timedelta(days=overlap_days)
+    return publish_sync(spark, names, regions, source, order, start=start, **options)
 
 
 def classify_observations(

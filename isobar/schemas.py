@@ -104,6 +104,8 @@ LOAD_LOG = _struct(
     ("updated", LongType()),
     ("skipped", LongType()),
     ("errors", LongType()),
+    ("load_id", StringType()),
+    ("newest", DateType()),
 )
 
 MEASURES = [

@@ -109,6 +109,75 @@ def test_load_log(spark, target, incoming):
     assert log.columns == schemas.LOAD_LOG.names
 
 
+def sync_frames(spark):
+    """Empty tables to sync into, regions, and observations of three years."""
+    names = sync.SyncTables(*(work_table(f"t_{k}") for k in ("regions", "stations", "observations", "log")))
+    frame = spark.createDataFrame
+    tables.load_table(frame([], schemas.REGIONS), names.regions)
+    stations = "station_id string, station_name string, country string, region_code string, latitude double, longitude double, is_coastal boolean, is_active boolean, elevation double"
+    tables.load_table(frame([], stations), names.stations)
+    measures = ", ".join(f"{m} double" for m in schemas.MEASURES)
+    columns = f"station_id string, observation_date date, year int, {measures}"
+    tables.write_warehouse(frame([], columns), names.observations, ("year",), None, fmt="parquet")
+    data = [
+        (s, D(y, m, 1), y, *[float(k + y - 2000 + m)] * 5, 20.0 if (s, y) == ("a", 2020) else None, None, f"name {s}", f"land {s}", "East Africa", 1.0, 2.0)
+        for k, s in enumerate("abc")
+        for y in (2020, 2021, 2022)
+        for m in (1, 6, 12)
+    ]
+    more = "station_name string, country string, region string, latitude double, longitude double"
+    return names, sync.default_regions(spark), frame(data, f"{columns}, {more}")
+
+
+def test_windows_in_any_order_are_one_sync(spark):
+    order = [F.col("temp_mean")]
+    whole, regions, source = sync_frames(spark)
+    sync.publish_sync(spark, whole, regions, source, order)
+    parts, _, _ = sync_frames(spark)
+    windows = [(D(2021, 6, 1), D(2021, 12, 31)), (None, D(2021, 5, 31)), (D(2022, 1, 1), None)]
+    for start, end in windows:
+        sync.publish_sync(spark, parts, regions, source, order, start=start, end=end)
+    for kind in ("stations", "observations", "regions"):
+        got, want = spark.table(getattr(parts, kind)), spark.table(getattr(whole, kind))
+        assert rows(got.select(*want.columns)) == rows(want)
+    assert upsert.high_water(spark, parts.log, sync.SYNC) == D(2022, 12, 1)
+
+
+def test_loads_since_the_newest_day(spark):
+    """Late rows within the overlap come in, older ones do not; other partitions keep their files."""
+    order = [F.col("temp_mean")]
+    names, regions, source = sync_frames(spark)
+    late = (F.col("station_id") == "c") & (F.col("year") < 2022)
+    sync.publish_sync(spark, names, regions, source.where("year < 2022").where(~late), order, load_id="one")
+    table = lambda: spark.table(names.observations)
+    files = lambda y: {r[0] for r in table().where(f"year = {y}").select("_metadata.file_path").distinct().collect()}
+    old, rewritten = files(2020), files(2021)
+    counts = {r.entity: r for r in sync.sync_since(spark, names, regions, source, order, overlap_days=200, load_id="two").collect()}
+    # Since 2021-05-15: two months of 2021, of which two stations were there, and 2022.
+    assert (counts["observations"].created, counts["observations"].updated) == (2 + 9, 4)
+    spark.catalog.refreshTable(names.observations)
+    assert files(2020) == old and not files(2021) & rewritten
+    assert table().where("station_id = 'c'").count() == 5
+    again = sync.sync_since(spark, names, regions, source, order, load_id="two").collect()
+    assert {(r.created, r.updated, r.skipped) for r in again} == {(0, 0, 0)}
+    assert spark.table(names.log).where("load_id = 'two'").count() == 3
+    few = sync.publish_sync(spark, names, regions, source, order, limit=4, tie=["station_id"])
+    assert few.where("entity = 'observations'").first().updated == 4
+
+
+def test_a_failed_load_changes_nothing_and_is_logged(spark):
+    names, regions, source = sync_frames(spark)
+    broken = source.withColumn("temp_max", F.when(F.col("year") == 2022, F.raise_error(F.lit("unreadable"))).otherwise(1.0))
+    with pytest.raises(Exception, match="unreadable"):
+        sync.publish_sync(spark, names, regions, broken, [F.col("temp_mean")], load_id="x")
+    assert spark.table(names.stations).isEmpty() and spark.table(names.regions).isEmpty()
+    log = spark.table(names.log).collect()
+    assert [(r.status, r.load_id, r.newest) for r in log] == [("failed", "x", None)]
+    # The same identifier may be tried again.
+    sync.publish_sync(spark, names, regions, source, [F.col("temp_mean")], load_id="x")
+    assert spark.table(names.observations).count() == 27
+
+
 def test_flag_existing(target, incoming):
     got = joins.flag_existing(incoming, target, KEY)
     assert sorted(r.exists for r in got.collect()) == [False, False, True]
