@@ -100,7 +100,11 @@ def year_over_year(obs: DataFrame) -> DataFrame:
 
     NULL when the year before is missing. Aggregated before the window.
     """
-    monthly = obs.groupBy("region", "month", "year").agg(F.avg("temp_mean").alias("_mean"))
+    return year_over_year_of(obs.groupBy("region", "month", "year").agg(F.avg("temp_mean").alias("_mean")))
+
+
+def year_over_year_of(monthly: DataFrame) -> DataFrame:
+    """year_over_year of monthly means, in column `_mean`."""
     w = Window.partitionBy("region", "month").orderBy("year")
     before = F.when(F.lag("year").over(w) == F.col("year") - 1, F.lag("_mean").over(w))
     return monthly.select(

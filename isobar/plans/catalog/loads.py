@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from isobar.functions.columns import stable_round
 from isobar.operators import upsert
 from isobar.operators.clean import clean
-from isobar.plans import etl, sync
+from isobar.plans import etl, summaries, sync
 from isobar.plans.adapter import TIE, r, with_views
 from isobar.plans.catalog.base import query, rounded
 from isobar.plans.catalog.scans import station_text
@@ -18,6 +19,7 @@ from isobar.sources import tables
 
 TIE_SQL = "k1, k2, k3"
 KEY_SQL = f"{TIE_SQL}, station_id"
+FIRST_SQL = "QUALIFY row_number() OVER (PARTITION BY station_id, observation_date ORDER BY k1, k2, k3) = 1"
 
 # -- pipeline ----------------------------------------------------------------
 
@@ -157,11 +159,132 @@ def append_summary(t):
     return rounded(rounded(t.spark.table(name), 6, "avg_temp"), 2, "total_precip")
 
 
+# -- outputs kept up to date -------------------------------------------------
+# As above, but one year is published again with other readings.
+
+RELOAD = 1997
+AGAIN = f"""again AS (
+    SELECT * REPLACE (CASE WHEN year = {RELOAD} THEN temp_mean + 100 ELSE temp_mean END AS temp_mean,
+                      CASE WHEN year = {RELOAD} THEN precipitation * 2 ELSE precipitation END AS precipitation)
+    FROM enriched)"""
+ROLLING_SQL = f"""SELECT station_id, observation_date,
+         {r('sum(day) OVER (PARTITION BY station_id ORDER BY observation_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)', 2)} AS rolling_precip
+  FROM (SELECT station_id, observation_date, sum(CAST(precipitation AS DECIMAL(18,5))) AS day FROM again GROUP BY station_id, observation_date)"""
+CHANGE_SQL = f"""SELECT m.region, m.year, m.month, {r('m.a', 2)} AS avg_temp, {r('m.a - p.a', 2)} AS change
+  FROM (SELECT region, year, month, avg(temp_mean) AS a FROM again GROUP BY region, year, month) m
+  LEFT JOIN (SELECT region, year, month, avg(temp_mean) AS a FROM again GROUP BY region, year, month) p
+  ON m.region = p.region AND m.month = p.month AND p.year = m.year - 1"""
+
+
+def _reloaded(t):
+    """All outputs published, then one year of the observations again."""
+    rows = etl.transform(t.raw_obs, t.stations, t.baselines)
+    name = work_table("isobar_outputs")
+    names = summaries.Outputs(name, summaries.Summary(f"{name}_summary"), f"{name}_rolling", f"{name}_change")
+    table = etl.load(rows, name, work_path(t.spark, "published"), tables.buckets_for(t.fact.count(), 35), keep=TIE)
+    summaries.publish_outputs(t.spark, names)
+    again = table.where(F.col("year") == RELOAD).withColumns(
+        {"temp_mean": F.col("temp_mean") + 100, "precipitation": F.col("precipitation") * 2}
+    )
+    summaries.reload_year(t.spark, names, again, RELOAD)
+    return names
+
+
+@query("etl_rolling", with_views("stations raw baselines", f"{PIPELINE}, {AGAIN} {ROLLING_SQL}"))
+def etl_rolling(t):
+    """The published 30-day rain after a year was loaded again: the windows reach into it from the next."""
+    return t.spark.table(_reloaded(t).rolling).select("station_id", "observation_date", "rolling_precip")
+
+
+@query(
+    "etl_outputs",
+    with_views(
+        "stations raw baselines",
+        f"""{PIPELINE}, {AGAIN}, rolled AS ({ROLLING_SQL}), changed AS ({CHANGE_SQL})
+  SELECT 'monthly' AS output, region, CAST(NULL AS BIGINT) AS station_id, year, month,
+         {r('avg(temp_mean)', 6)} AS value, {r('sum(precipitation)', 2)} AS total, count(*) AS n
+  FROM again GROUP BY region, year, month
+  UNION ALL SELECT 'change', region, NULL, year, month, change, avg_temp, 1 FROM changed
+  UNION ALL SELECT 'rolling', NULL, station_id, CAST(year(observation_date) AS INT), CAST(month(observation_date) AS INT),
+         max(rolling_precip), {r('sum(rolling_precip)', 2)}, count(*)
+  FROM rolled GROUP BY station_id, year(observation_date), month(observation_date)""",
+    ),
+)
+def etl_outputs(t):
+    """All three outputs of the pipeline after a year was loaded again, rolling rain summed up by month."""
+    names = _reloaded(t)
+    monthly = rounded(rounded(summaries.monthly(t.spark, names.summary), 6, "avg_temp"), 2, "total_precip")
+    none = F.lit(None)
+    rolled = t.spark.table(names.rolling).groupBy("station_id", "year", "month").agg(
+        F.max("rolling_precip").alias("value"), stable_round(F.sum("rolling_precip"), 2).alias("total"), F.count("*").alias("n")
+    )
+    place = ["year", "month"]
+    parts = [
+        monthly.select(
+            F.lit("monthly").alias("output"), "region", none.cast("long").alias("station_id"), *place,
+            F.col("avg_temp").alias("value"), F.col("total_precip").alias("total"), F.col("observation_count").alias("n"),
+        ),
+        t.spark.table(names.change).select(
+            F.lit("change").alias("output"), "region", none.cast("long").alias("station_id"), *place,
+            F.col("change").alias("value"), F.col("avg_temp").alias("total"), F.lit(1).cast("long").alias("n"),
+        ),
+        rolled.select(F.lit("rolling").alias("output"), none.cast("string").alias("region"), "station_id", *place, "value", "total", "n"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "summary_refresh",
+    with_views(
+        "stations fact",
+        f"""WITH base AS (SELECT * FROM fact WHERE k2 <= 4 {FIRST_SQL}),
+       arriving AS (SELECT * FROM fact WHERE k2 >= 3 {FIRST_SQL}),
+       merged AS (SELECT station_id, observation_date, year, month, temp_mean, precipitation FROM arriving
+                  UNION ALL SELECT station_id, observation_date, year, month, temp_mean, precipitation FROM base b
+                  WHERE NOT EXISTS (SELECT 1 FROM arriving a WHERE a.station_id = b.station_id AND a.observation_date = b.observation_date)),
+       last AS (SELECT * REPLACE (CASE WHEN year = {RELOAD} THEN temp_mean - 7 ELSE temp_mean END AS temp_mean) FROM merged
+                WHERE year <> {RELOAD} OR month <> 5)
+  SELECT region, year, month, {r('avg(temp_mean)', 6)} AS avg_temp, {r('sum(precipitation)', 2)} AS total_precip,
+         min(temp_mean) AS min_temp, max(temp_mean) AS max_temp, count(*) AS observation_count
+  FROM last JOIN stations USING (station_id) GROUP BY region, year, month""",
+    ),
+)
+def summary_refresh(t):
+    """The summary after new keys came, known keys changed, and a year lost a month and was cooled."""
+    held = ["station_id", "observation_date", "year", "month", "temp_mean", "precipitation"]
+    place = t.stations.select("station_id", "region")
+    key = sync.OBSERVATION_KEY
+    base = _staged_rows(_target(t).select(*held).join(place, "station_id"), "base")
+    coming = upsert.first_per_key(t.fact.where("k2 >= 3"), key, _order()).select(*held).join(place, "station_id")
+    coming = _staged_rows(coming, "coming")
+    s = summaries.Summary(work_table("isobar_state"))
+    summaries.create(base, s, work_path(t.spark, "state"))
+
+    fresh = coming.join(base, key, "left_anti")
+    rows = base.unionByName(fresh)
+    summaries.change(t.spark, s, rows, added=fresh)
+
+    known = coming.join(base, key, "left_semi")
+    replaced = base.join(coming, key, "left_semi")
+    merged = _staged_rows(base.join(coming, key, "left_anti").unionByName(coming), "merged")
+    summaries.change(t.spark, s, merged, added=known, removed=replaced)
+
+    year = F.col("year") == RELOAD
+    cooled = merged.where(year & (F.col("month") != 5)).withColumn("temp_mean", F.col("temp_mean") - 7)
+    summaries.change(t.spark, s, merged.where(~year).unionByName(cooled), added=cooled, removed=merged.where(year))
+    return rounded(rounded(summaries.monthly(t.spark, s), 6, "avg_temp"), 2, "total_precip")
+
+
+def _staged_rows(df, name):
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- upserts -----------------------------------------------------------------
 # Rows with k2 <= 4 are there already, rows with k2 >= 3 arrive; the first of a
 # key under (k1, k2, k3) stands. Together they are all rows.
 
-FIRST_SQL = "QUALIFY row_number() OVER (PARTITION BY station_id, observation_date ORDER BY k1, k2, k3) = 1"
 SIDES = (
     f"target AS (SELECT * FROM fact WHERE k2 <= 4 {FIRST_SQL}), "
     f"incoming AS (SELECT * FROM fact WHERE k2 >= 3 AND station_id IN (SELECT station_id FROM stations WHERE is_active) {FIRST_SQL})"
