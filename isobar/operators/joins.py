@@ -46,17 +46,18 @@ def country_year_sst(fact: DataFrame, stations: DataFrame) -> DataFrame:
 def country_region_broadcast(
     fact: DataFrame, stations: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Count and mean temperature by country and region, map-side join.
+    """Count and mean temperature by country and region, map-side join of per-station sums.
 
     The stations are counted first; beyond the bound the shuffle form runs.
     """
     dim = stations.select("station_id", "country", "region")
     if dim.count() > max_rows:
         return country_region_shuffle(fact, stations)
+    part = partial_sums(fact, ["station_id"], {"temp": "temp_mean"})
     return (
-        fact.join(F.broadcast(dim), "station_id")
+        part.join(F.broadcast(dim), "station_id")
         .groupBy("country", "region")
-        .agg(F.count("*").alias("n"), F.avg("temp_mean").alias("avg_temp"))
+        .agg(F.sum("rows").alias("n"), merged_avg("temp").alias("avg_temp"))
     )
 
 

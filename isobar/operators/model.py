@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from isobar.functions.columns import month_cos, month_name, month_sin, stable_round
-from isobar.operators.ordering import split_by_time
+from isobar.operators.ordering import split_frames
 
 # Model inputs, smallest training set, sample size of the report.
 FEATURES = ["month_sin", "month_cos", "humidity", "precipitation"]
@@ -141,9 +141,12 @@ class Evaluation:
 def train_and_evaluate(
     obs: DataFrame, tie: Sequence[str], fraction: float = 0.8
 ) -> Evaluation:
-    """Fit on the newest `fraction` of the rows, measure on the older rest."""
-    data = split_by_time(features(obs, ["observation_date", *tie]), fraction, tie)
-    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    """Fit on the newest `fraction` of the rows, measure on the older rest.
+
+    Day counts, the fit and the metrics each read their own rows: the two sides are
+    bounded by date, so no row is read for both but those of the day of the cut.
+    """
+    train, test = split_frames(features(obs, ["observation_date", *tie]), fraction, tie)
     m = moments(train).first()
     # The test side is at most a fraction of the train side, so it is counted
     # only when the train side alone does not settle the question.

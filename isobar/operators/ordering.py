@@ -114,6 +114,27 @@ def page_by(df: DataFrame, order: Sequence[Column], number: int = 1, size: int =
     return rows.where(F.col("_pos").between(skip + 1, skip + size)).drop("_pos").orderBy(*order)
 
 
+def _cut_day(df: DataFrame, fraction: float, date: str):
+    """The day in which the newest ⌊fraction · n⌋ rows end: `_day`, its rows `_n`, `_take` of them; or None."""
+    days = _day_counts(df, date).withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(1))))
+    wanted = F.floor(F.col("_all") * F.lit(fraction))
+    return (
+        days.where((F.col("_newer") < wanted) & (wanted <= F.col("_newer") + F.col("_n")))
+        .select("_day", "_n", (wanted - F.col("_newer")).alias("_take"))
+        .first()
+    )
+
+
+def _placed(day: DataFrame, rows: int, tie: Sequence[str], date: str, max_day_rows: int) -> DataFrame:
+    """The rows of one day with their place `_pos` under `tie`."""
+    if not tie:
+        raise ValueError("a split needs `tie` columns that tell rows of a day apart")
+    order = [F.col(c) for c in tie]
+    if rows > max_day_rows:
+        return numbered(day, [], order, "_pos")
+    return day.withColumn("_pos", F.row_number().over(Window.partitionBy(date).orderBy(*order)))
+
+
 def split_by_time(
     df: DataFrame,
     fraction: float,
@@ -125,13 +146,7 @@ def split_by_time(
 
     Whole days are decided by date; only the day the cut falls in is numbered.
     """
-    days = _day_counts(df, date).withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(1))))
-    wanted = F.floor(F.col("_all") * F.lit(fraction))
-    cut = (
-        days.where((F.col("_newer") < wanted) & (wanted <= F.col("_newer") + F.col("_n")))
-        .select("_day", "_n", (wanted - F.col("_newer")).alias("_take"))
-        .first()
-    )
+    cut = _cut_day(df, fraction, date)
     if cut is None:
         return df.withColumn("split", F.lit("test"))
     if cut["_day"] is None:
@@ -141,19 +156,37 @@ def split_by_time(
         is_cut = F.col(date).eqNullSafe(F.lit(cut["_day"]))
         newer = F.coalesce(F.col(date) > F.lit(cut["_day"]), F.lit(False))
     rest = df.where(~is_cut).withColumn("split", F.when(newer, "train").otherwise("test"))
-    day = df.where(is_cut)
-    if not tie:
-        raise ValueError("a split needs `tie` columns that tell rows of a day apart")
-    order = [F.col(c) for c in tie]
-    if cut["_n"] > max_day_rows:
-        day = numbered(day, [], order, "_pos")
+    day = _placed(df.where(is_cut), cut["_n"], tie, date, max_day_rows)
+    side = F.when(F.col("_pos") <= cut["_take"], "train").otherwise("test")
+    return rest.unionByName(day.withColumn("split", side).drop("_pos"))
+
+
+def split_frames(
+    df: DataFrame,
+    fraction: float,
+    tie: Sequence[str],
+    date: str = "observation_date",
+    max_day_rows: int = GROUP_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """split_by_time as two frames (train, test), each bounded by date where it reads the files.
+
+    A day with rows on both sides is read for each; all other rows are read for one.
+    """
+    cut = _cut_day(df, fraction, date)
+    if cut is None:
+        return df.where(F.lit(False)), df
+    at, c = F.lit(cut["_day"]), F.col(date)
+    if cut["_day"] is None:
+        train, test, same = df.where(c.isNotNull()), None, c.isNull()
     else:
-        w = Window.partitionBy(date).orderBy(*order)
-        day = day.withColumn("_pos", F.row_number().over(w))
-    day = day.withColumn(
-        "split", F.when(F.col("_pos") <= cut["_take"], "train").otherwise("test")
-    ).drop("_pos")
-    return rest.unionByName(day)
+        train, test, same = df.where(c > at), df.where(c < at).unionByName(df.where(c.isNull())), c == at
+    if cut["_take"] == cut["_n"]:
+        train = train.unionByName(df.where(same))
+        return train, df.where(F.lit(False)) if test is None else test
+    day = _placed(df.where(same), cut["_n"], tie, date, max_day_rows)
+    older = day.where(F.col("_pos") > cut["_take"]).drop("_pos")
+    train = train.unionByName(day.where(F.col("_pos") <= cut["_take"]).drop("_pos"))
+    return train, older if test is None else test.unionByName(older)
 
 
 def distribute_sort(df: DataFrame, by: Sequence[str], sort: Sequence[str]) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from isobar.operators import aggregates as A
-from isobar.operators import joins
+from isobar.operators import filters, joins, sketches
 from isobar.operators.skew import salted_avg
 from isobar.plans.adapter import r, with_views
 from isobar.plans.catalog.base import query, rounded
+from isobar.session import work_path, work_table
 
 N = "count(*) AS observation_count"
 
@@ -83,6 +84,54 @@ def region_stats_sketch(t):
     return rounded(A.region_stats(t.obs), 6, "range_stddev", "humidity_precip_corr")
 
 
+YEARS = (1994, 1997)
+
+
+def _sketched(t):
+    """Sketches of all years, one of them replaced, and what they say of a range."""
+    name = work_table("isobar_sketches")
+    sketches.create(t.obs, name, work_path(t.spark, "sketches"))
+    sketches.refresh(t.obs.where("year = 1996"), name)
+    return sketches.over_years(t.spark, name, *YEARS)
+
+
+@query(
+    "median_sketch",
+    with_views(
+        "obs", f"SELECT region, count(*) AS n, true AS holds FROM obs WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]} GROUP BY region"
+    ),
+)
+def median_sketch(t):
+    """Medians of four years from stored sketches, and whether their ranks are within the bound."""
+    said = _sketched(t).select(F.col("region").alias("_region"), "median", "rows")
+    rows = filters.year_range(t.obs, *YEARS).where(F.col("temp_mean").isNotNull())
+    v = F.col("temp_mean")
+    ranks = rows.join(said, F.col("region").eqNullSafe(F.col("_region"))).groupBy("region").agg(
+        F.max("rows").alias("n"), F.count("*").alias("_n"),
+        F.count_if(v < F.col("median")).alias("_below"), F.count_if(v <= F.col("median")).alias("_upto"),
+    )
+    return ranks.select("region", "n", sketches.median_holds(F.col("_below"), F.col("_upto"), F.col("_n")).alias("holds"))
+
+
+@query(
+    "stations_sketch",
+    with_views(
+        "obs",
+        f"SELECT region, count(DISTINCT station_id) AS stations, true AS holds FROM obs "
+        f"WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]} GROUP BY region",
+    ),
+)
+def stations_sketch(t):
+    """Distinct stations of four years, exact, and whether the stored sketches say the same within the bound."""
+    said = _sketched(t).select(F.col("region").alias("_region"), "keys")
+    seen = filters.year_range(t.fact, *YEARS).select("station_id").distinct()
+    exact = seen.join(t.stations.select("station_id", "region"), "station_id").groupBy("region").agg(F.count("*").alias("stations"))
+    off = F.abs(F.col("keys") - F.col("stations")) / F.col("stations")
+    return exact.join(said, F.col("region").eqNullSafe(F.col("_region"))).select(
+        "region", "stations", (off <= sketches.COUNT_ERROR).alias("holds")
+    )
+
+
 @query(
     "coverage",
     with_views(

@@ -175,10 +175,13 @@ def external_scan(t):
     path, name = work_path(t.spark, "external"), work_table("isobar_external")
     rows.write.option("header", True).csv(path)
     kept = files.external_table(t.spark, name, rows.schema, path)
-    seen = kept.count()
+    # What the table gives is kept, so that it can be dropped before the result is read.
+    held = work_path(t.spark, "external-rows")
+    kept.write.parquet(held)
     t.spark.sql(f"DROP TABLE {name}")
-    back = files.read_csv(t.spark, path, rows.schema)
-    return back.withColumn("files_stay", F.lit(seen == back.count()))
+    back = t.spark.read.schema(rows.schema).parquet(held)
+    there = files.read_csv(t.spark, path, rows.schema).count()
+    return back.withColumn("files_stay", F.lit(there == back.count()))
 
 
 # -- generators: the same digests taken in SQL -------------------------------
@@ -393,13 +396,14 @@ def distinct_rows(t):
 )
 def split_by_time(t):
     """Which rows each side holds, as counts, days and a key sum."""
-    return (
-        ordering.split_by_time(t.fact, 0.8, DAY_ORDER)
-        .groupBy("split")
-        .agg(
+
+    def held(side, name):
+        return side.agg(
             F.count("*").alias("n"),
             F.min("observation_date").alias("first_day"),
             F.max("observation_date").alias("last_day"),
             F.sum("k1").alias("key_sum"),
-        )
-    )
+        ).select(F.lit(name).alias("split"), "*").where("n > 0")
+
+    train, test = ordering.split_frames(t.fact, 0.8, DAY_ORDER)
+    return held(train, "train").unionByName(held(test, "test"))
