@@ -15,6 +15,7 @@ from isobar.plans.catalog.base import query, rounded
 from isobar.plans.catalog.scans import station_text
 from isobar.schemas import MEASURES
 from isobar.session import work_path, work_table
+from isobar.sources import layout as two_level
 from isobar.sources import tables
 
 TIE_SQL = "k1, k2, k3"
@@ -127,6 +128,30 @@ def etl_load(t):
     return t.spark.table(name).select(*LOADED)
 
 
+@query(
+    "etl_layout",
+    with_views(
+        "stations raw baselines",
+        f"""{PIPELINE}
+  SELECT {KEY_SQL}, year, month, region, CASE WHEN year = 1997 THEN temp_mean + 100 ELSE temp_mean END AS temp_mean,
+         temp_anomaly, country
+  FROM enriched WHERE year <> 1997 OR station_id % 2 = 0""",
+    ),
+)
+def etl_layout(t):
+    """Published in two levels, hot stations apart; one year again with half of its stations; read whole."""
+    rows = etl.transform(t.raw_obs, t.stations, t.baselines).select(*TIE, *etl.PUBLISHED)
+    count = t.fact.count()
+    # A station is hot here with twice the mean rows of a station and year.
+    bound = 2 * count // max(1, 7 * t.table("supplier").count()) + 1
+    layout = two_level.Layout(work_table("isobar_layout"), buckets=tables.buckets_for(count, 35), max_rows=bound)
+    table = two_level.publish(rows, layout, work_path(t.spark, "layout"))
+    again = table.where("year = 1997 AND station_id % 2 = 0").withColumn("temp_mean", F.col("temp_mean") + 100)
+    # A table cannot be overwritten while it is read.
+    two_level.reload(_staged_rows(again, "again"), layout)
+    return t.spark.table(layout.name).select(*LOADED)
+
+
 @query(
     "etl_full",
     with_views("stations raw baselines", f"{PIPELINE} SELECT {MONTHLY_SQL} FROM enriched GROUP BY region, year, month"),

@@ -137,6 +137,43 @@ def table_stats(t):
     return tables.table_stats(t.spark, name).drop("distinct_estimate")
 
 
+@query(
+    "table_partition_stats",
+    with_views("obs", "SELECT 'year=' || year || '/region=' || region AS partition, count(*) AS row_count FROM obs GROUP BY year, region"),
+)
+def table_partition_stats(t):
+    """Rows of every partition of the published layout, from the catalog."""
+    name = work_table("isobar_partitions")
+    rows = t.obs.select("station_id", "observation_date", "temp_mean", "year", "region")
+    tables.write_warehouse(rows, name, buckets=None, path=work_path(t.spark, "partitions"))
+    return tables.partition_stats(t.spark, name).drop("bytes")
+
+
+@query(
+    "table_histogram",
+    with_views("fact", "SELECT count(temp_mean) AS n, min(temp_mean) AS low, max(temp_mean) AS high, true AS even FROM fact"),
+)
+def table_histogram(t):
+    """The equal-height histogram of temperatures: what its bins hold together, and whether each holds its share.
+
+    A bin may hold more only where one reading alone does, and the bounds are estimates.
+    """
+    name = work_table("isobar_histogram")
+    tables.load_table(t.fact.select("temp_mean"), name, path=work_path(t.spark, "histogram"))
+    bins = tables.histogram(t.spark, name, "temp_mean")
+    # Bins between the same bounds are one; a reading on a bound may lie on either side.
+    bins = bins.groupBy("low", "high").agg(F.sum("height").alias("height"))
+    v, rows = F.col("temp_mean"), t.spark.table(name)
+    counts = rows.groupBy("temp_mean").agg(F.count("*").alias("c"))
+    spans = bins.withColumn("v", F.explode(F.sequence(F.floor("low"), F.ceil("high")))).select("low", "high", "height", "v")
+    held = spans.join(counts, (F.floor("temp_mean") == F.col("v")) & (v >= F.col("low")) & (v <= F.col("high")))
+    held = held.groupBy("low", "high", "height").agg(F.sum("c").alias("most"), F.sum(F.when((v > F.col("low")) & (v < F.col("high")), F.col("c")).otherwise(0)).alias("least"))
+    total = F.sum("height")
+    slack = 0.02 * rows.count()
+    even = F.bool_and((F.col("most") >= F.col("height") - slack) & (F.col("least") <= F.col("height") + slack))
+    return held.agg(F.round(total).cast("long").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), even.alias("even"))
+
+
 COUNTS_SQL = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from isobar.functions.columns import stable_round
 from isobar.operators.skew import GROUP_ROWS, split_hot
 
 MAX_BUCKETS = 65_536
+HISTOGRAMS = "spark.sql.statistics.histogram.enabled"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -233,6 +235,50 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def partition_stats(spark: SparkSession, name: str) -> DataFrame:
+    """(partition, row_count, bytes) of a partitioned table from the catalog, after ANALYZE."""
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    spark.sql(f"ANALYZE TABLE {name} PARTITION({', '.join(f'`{p}`' for p in parts)}) COMPUTE STATISTICS")
+    rows = []
+    for shown in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        spec = [piece.split("=", 1) for piece in shown[0].split("/")]
+        if any(value == "__HIVE_DEFAULT_PARTITION__" for _, value in spec):
+            wanted = ", ".join(f"`{k}`=NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"`{k}`='{_plain(v)}'" for k, v in spec)
+        else:
+            wanted = ", ".join(f"`{k}`='{_plain(v)}'" for k, v in spec)
+        info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({wanted})").collect()}
+        said = re.fullmatch(r"(\d+) bytes(?:, (\d+) rows)?", info.get("Partition Statistics", ""))
+        if not said:
+            raise RuntimeError(f"no statistics of {shown[0]}: {info.get('Partition Statistics')}")
+        rows.append((shown[0], int(said[2] or 0), int(said[1])))
+    return spark.createDataFrame(rows, "partition string, row_count long, bytes long")
+
+
+def _plain(value: str) -> str:
+    """A value as SHOW PARTITIONS escapes it, for a literal."""
+    return unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+
+
+def histogram(spark: SparkSession, name: str, column: str) -> DataFrame:
+    """Equal-height bins of a numeric column as the catalog has them: (bin, low, high, distinct, height)."""
+    before = spark.conf.get(HISTOGRAMS)
+    spark.conf.set(HISTOGRAMS, "true")
+    try:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS `{column}`")
+    finally:
+        spark.conf.set(HISTOGRAMS, before)
+    shown = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {name} `{column}`").collect()}
+    height = re.match(r"height: ([^,]+)", shown.get("histogram") or "")
+    if not height:
+        raise ValueError(f"no histogram of {name}.{column}")
+    rows = []
+    for label, text in shown.items():
+        if label.startswith("bin_"):
+            low, high, distinct = re.fullmatch(r"lower_bound: (.+), upper_bound: (.+), distinct_count: (\d+)", text).groups()
+            rows.append((int(label[4:]), float(low), float(high), int(distinct), float(height[1])))
+    return spark.createDataFrame(rows, "bin int, low double, high double, distinct long, height double")
+
+
 STORAGE_FORMATS = ("text", "text_gzip", "orc", "parquet")
 
 
