@@ -133,13 +133,17 @@ def etl_load(t):
     with_views(
         "stations raw baselines",
         f"""{PIPELINE}
-  SELECT {KEY_SQL}, year, month, region, CASE WHEN year = 1997 THEN temp_mean + 100 ELSE temp_mean END AS temp_mean,
+  SELECT {KEY_SQL}, year, month, region, CASE WHEN year = 1997 AND station_id % 2 = 0 THEN temp_mean + 100 ELSE temp_mean END AS temp_mean,
          temp_anomaly, country
-  FROM enriched WHERE year <> 1997 OR station_id % 2 = 0""",
+  FROM enriched WHERE year <> 1997 OR station_id % 2 = 0
+     OR region NOT IN (SELECT region FROM enriched WHERE year = 1997 AND station_id % 2 = 0)""",
     ),
 )
 def etl_layout(t):
-    """Published in two levels, hot stations apart; one year again with half of its stations; read whole."""
+    """Published in two levels, hot stations apart; one year again with half of its stations; read whole.
+
+    Regions of the year without any of those stations are not in the load, and stay.
+    """
     rows = etl.transform(t.raw_obs, t.stations, t.baselines).select(*TIE, *etl.PUBLISHED)
     count = t.fact.count()
     # A station is hot here with twice the mean rows of a station and year.
