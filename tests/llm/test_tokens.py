@@ -236,3 +236,28 @@ def test_packing(odd, window):
 
 def test_packing_of_nothing(none):
     assert packing.pack(none, BYTES).count() == 0
+
+
+def test_blocks_of_the_replay(monkeypatch):
+    """Words of a block are written by bucket and their ids found again by number."""
+    import regex
+
+    monkeypatch.setattr(merge_replay, "LIST_WORDS", 5)
+    bpe = merge_replay.ByteBPE(RANKS, public.PATTERN)
+    texts = ["the cat, the dog", "", "日本語 the\n\n cat's 12345", " ", "x" * 300]
+    rows = [
+        {k: v[0] for k, v in r.items()}
+        for r in merge_replay._numbered(7, list(range(5)), texts, regex.compile(public.PATTERN).findall, 3)
+    ]
+    lists = [r for r in rows if r["kind"] == merge_replay.LISTS]
+    assert len(lists) > 1 and sum((r["doc_ids"] for r in lists), []) == [0, 1, 2, 3, 4]
+    words = sorted((r for r in rows if r["kind"] == merge_replay.WORDS), key=lambda r: r["place"])
+    seen = [w for r in words for w in merge_replay._split(r["words"], r["n"])]
+    assert len(seen) == len(set(seen))
+    packed = [(r["block"], r["place"], r["n"], r["words"]) for r in words]
+    back = [(r["words"][0], r["n"][0]) for r in merge_replay._replayed(bpe, packed)]
+    (bucket_of,) = [merge_replay._unpacked(r["lists"]) for r in rows if r["kind"] == merge_replay.BUCKET_OF]
+    block = merge_replay._Block(bucket_of, back, bpe.dtype)
+    ids = [x for r in lists for x in block.ids(merge_replay._unpacked(r["lists"]), r["counts"])]
+    assert [x.tolist() for x in ids] == [x.tolist() for x in bpe.encode(texts)]
+    assert [bpe.decode(x).decode() for x in ids] == texts
