@@ -12,9 +12,8 @@ a text is cut at a place no pre-token crosses:
 
 from __future__ import annotations
 
-import itertools
 import re
-import struct
+import weakref
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -24,13 +23,20 @@ WHITE_SPACE = "".join(
     map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 
-_UNEVEN = re.compile(f"[{WHITE_SPACE}][{WHITE_SPACE}]|^[{WHITE_SPACE}]|[{WHITE_SPACE}]$|\0")
+_RARE = re.compile(f"[{WHITE_SPACE.replace(' ', '').replace(chr(10), '')}\0]")
 _RUNS = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
 
+def even(text: str) -> bool:
+    """Whether all white space is single spaces and line ends within the text; a zero byte is uneven too."""
+    if text[:1] in " \n" or text[-1:] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return False
+    return _RARE.search(text) is None
+
+
 def byte_chunks(text: str) -> list[str]:
     """Pieces that the byte-level pattern splits independently; joined they are the text."""
-    if _UNEVEN.search(text):
+    if not even(text):
         return _RUNS.findall(text)
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
@@ -40,21 +46,41 @@ def word_chunks(text: str) -> list[str]:
 
 
 class WordCache:
-    """chunk → value, filled in batches, of bounded size."""
+    """chunk → value, filled in batches, of bounded size.
+
+    Values lie in two halves. When the newer one is full it becomes the older one, whose
+    values move back as they are asked for; those that were not are forgotten.
+    """
+
+    _all: weakref.WeakSet[WordCache] = weakref.WeakSet()
 
     def __init__(self, make, limit: int = 700_000):
-        self.make, self.limit, self.known = make, limit, {}
+        self.make, self.limit, self.known, self.older = make, limit, {}, {}
+        WordCache._all.add(self)
+
+    @classmethod
+    def forget(cls) -> None:
+        """Empty all caches of this process: a worker keeps them when it goes on to another operator."""
+        for cache in cls._all:
+            cache.known, cache.older = {}, {}
 
     def get(self, chunks: list[str]) -> list:
         found = list(map(self.known.get, chunks))
         if None in found:
-            missing = list(dict.fromkeys(c for c, v in zip(chunks, found) if v is None))
-            fresh = dict(zip(missing, self.make(missing)))
-            if len(self.known) + len(fresh) > self.limit:
-                for old in list(itertools.islice(self.known, len(self.known) // 2)):
-                    del self.known[old]
+            at, places = -1, []
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                places.append(at)
+            fresh = dict.fromkeys([chunks[i] for i in places])
+            if self.older:
+                fresh = {c: self.older.get(c) for c in fresh}
+            missing = [c for c, v in fresh.items() if v is None]
+            fresh.update(zip(missing, self.make(missing)))
+            if len(self.known) + len(fresh) > self.limit // 2:
+                self.known, self.older = {}, self.known
             self.known.update(fresh)
-            found = [fresh[c] if v is None else v for c, v in zip(chunks, found)]
+            for i in places:
+                found[i] = fresh[chunks[i]]
         return found
 
 
@@ -71,33 +97,70 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code = "H" if self.dtype == "<u2" else "I"
+        self.pieces = [np.array([i], self.dtype).tobytes() for i in range(self.tokenizer.get_vocab_size())]
         self.stops = {c: self._whole(c) for c in (".", ",")} | {"": b""}
-        self.cache = WordCache(self._encode)
+        self.line_end = b"" if lower else self._whole("\n")
+        self.cache = WordCache(self._encode, 700_000 if lower else 100_000)
+        # Words of even texts, each with the space before it left out or with the line end before it.
+        self.spaced = WordCache(self._encode_spaced)
 
     def _whole(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        elif word[0] == " ":
+            word = "Ġ" + word[1:]
+        pieces = self.pieces
+        return b"".join([pieces[t.id] for t in self.tokenizer.model.tokenize(word)])
+
     def _encode(self, chunks: list[str]) -> list[bytes]:
-        out, tokenize, match = [], self.tokenizer.model.tokenize, _LATIN_WORD.match
+        out, match = [], _LATIN_WORD.match
         for chunk in chunks:
             m = match(chunk)
             if m is None:
                 out.append(self._whole(chunk) if chunk else b"")
                 continue
             word, stop = m.groups()
-            if self.lower:
-                word = word.lower()
-            if not word.isascii() or word[0] == " ":
-                word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-            ids = [t.id for t in tokenize(word)]
-            out.append(struct.pack(f"<{len(ids)}{self.code}", *ids) + self.stops[stop])
+            out.append(self._word(word.lower() if self.lower else word) + self.stops[stop])
+        return out
+
+    def _encode_spaced(self, words: list[str]) -> list[bytes]:
+        out, match, made = [], _LATIN_WORD.match, {}
+        known, older = self.spaced.known.get, self.spaced.older.get
+        for word in words:
+            if word[0] == "\n":
+                out.append(self.line_end + (self._encode([word[1:]])[0] if len(word) > 1 else b""))
+                continue
+            m = match(word)
+            if m is None:
+                if word.isascii() and word.isprintable() and "'" not in word:
+                    first, *others = _ASCII_RUNS.findall(word)
+                    out.append(self._word(" " + first) + b"".join(map(self._word, others)))
+                else:
+                    out.append(self._whole(" " + word))
+                continue
+            # A word is often there already without its full stop or comma.
+            bare, stop = m.groups()
+            ids = known(bare) or older(bare) or made.get(bare)
+            if ids is None:
+                ids = made[bare] = self._word(" " + bare)
+            out.append(ids + self.stops[stop])
         return out
 
     def ids(self, text: str) -> bytes:
-        return b"".join(self.cache.get(self.chunks(text))) if text else b""
+        if not text:
+            return b""
+        if self.lower or not even(text):
+            return b"".join(self.cache.get(self.chunks(text)))
+        # The first word is taken as the first of a line, whose end is dropped again.
+        words = f"\n{text}".replace("\n", " \n").split(" ")[1:]
+        return b"".join(self.spaced.get(words))[len(self.line_end) :]
 
 
+# The byte-level pattern's pre-tokens of a printed ASCII word that has no contraction.
+_ASCII_RUNS = re.compile("[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+")
 # Letters below U+0250 but for the dotted capital I, whose lower case has two characters.
 _LATIN_WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)\\Z")
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]

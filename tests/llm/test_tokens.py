@@ -49,6 +49,23 @@ def test_cache_forgets():
     assert len(cache.known) <= 6
 
 
+def test_cache_keeps_what_is_asked_for():
+    made = []
+    cache = tokens.WordCache(lambda words: made.extend(words) or words, limit=8)
+    for i in range(40):
+        cache.get(["often", str(i)])
+    assert made.count("often") == 1
+
+
+def test_a_word_with_a_stop_is_encoded_once(monkeypatch):
+    encoder, made = tokens.Encoder(BYTES, tokens.byte_chunks, False), []
+    encode = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda word: made.append(word) or encode(word))
+    for text in ("the zorbling came", "a zorbling, zorbling."):
+        assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == LIBRARY[BYTES](text)
+    assert made.count(" zorbling") == 1
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 6), max_size=300), st.integers(0, 299), st.integers(0, 300))
 def test_grammar_round_trip(ids, start, length):
