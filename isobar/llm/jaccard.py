@@ -57,7 +57,6 @@ CHAINS = 2
 CELL_TOKENS = 1 << 22
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-_WORDS = WordCache(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], limit=400_000)
 
 
 def shingles(text: str, n: int = 5) -> np.ndarray:
@@ -65,7 +64,7 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.array(_WORDS.get(words), np.uint64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = max(1, len(h) - n + 1)
     width = min(n, len(h))
     out = np.full(size, np.uint64(width))
@@ -93,6 +92,7 @@ def _first_step(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFram
     """docs: doc_id, text, ref. kind 0: a row per document; kind 1: (token, node) lists by bucket; kind 2: counts known already."""
 
     def run(batches):
+        WordCache.forget()  # hashing a word takes less than looking it up
         held: list[tuple[int, np.ndarray]] = []
         seen: set[int] = set()
         size = 0

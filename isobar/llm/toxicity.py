@@ -51,7 +51,7 @@ def parts(word: str) -> list[int]:
     ]
 
 
-_PARTS = WordCache(lambda found: [np.array(parts(w), np.uint32).tobytes() for w in found], limit=500_000)
+_PARTS = WordCache(lambda found: [np.array(parts(w), np.uint32).tobytes() for w in found], limit=300_000)
 
 
 def features(text: str) -> np.ndarray:

@@ -57,6 +57,17 @@ def test_cache_keeps_what_is_asked_for():
     assert made.count("often") == 1
 
 
+def test_hashing_shingles_remembers_no_words():
+    from isobar.llm import jaccard
+
+    cache = tokens.WordCache(lambda words: words)
+    cache.get(["a", "b"])
+    assert len(jaccard.shingles("a b c d e f")) == 2
+    assert not hasattr(jaccard, "_WORDS")
+    tokens.WordCache.forget()
+    assert not cache.known and not cache.older
+
+
 def test_a_word_with_a_stop_is_encoded_once(monkeypatch):
     encoder, made = tokens.Encoder(BYTES, tokens.byte_chunks, False), []
     encode = encoder._word
