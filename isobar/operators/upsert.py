@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from isobar import schemas
@@ -20,13 +20,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def merge_flagged(
-    target: DataFrame, incoming: DataFrame, keys: Sequence[str], update_cols: Sequence[str]
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], update_cols: Sequence[str], null_keys: bool = True
 ) -> DataFrame:
     """Target and incoming merged by key, each row with its `action`.
 
     Keys must be unique on both sides; NULL is a key like any other. An incoming row overwrites the update
     columns, with NULLs too; presence is a flag, not the value. Columns missing
-    in the incoming rows keep the target's value.
+    in the incoming rows keep the target's value. Without `null_keys` no incoming key holds
+    a NULL: rows that were cut to one per key before are then joined as they lie.
     """
     t = target.select(
         *[F.col(k).alias(f"_t_{k}") for k in keys],
@@ -38,7 +39,7 @@ def merge_flagged(
     )
     cond = F.lit(True)
     for k in keys:
-        cond = cond & F.col(f"_t_{k}").eqNullSafe(F.col(k))
+        cond = cond & (F.col(f"_t_{k}").eqNullSafe(F.col(k)) if null_keys else F.col(f"_t_{k}") == F.col(k))
     both = t.join(i, cond, "full_outer")
     action = (
         F.when(F.col("_t") & F.col("_i"), F.lit("updated"))
@@ -98,7 +99,11 @@ def touched_partitions(target: DataFrame, incoming: DataFrame, parts: Sequence[s
     The distinct (year, region) values of a load are few; as literals they
     prune the target's files when the plan is made.
     """
-    values = incoming.select(*parts).distinct().collect()
+    return in_partitions(target, incoming.select(*parts).distinct().collect(), parts)
+
+
+def in_partitions(target: DataFrame, values: Sequence[Row], parts: Sequence[str]) -> DataFrame:
+    """The target's rows in the partitions named."""
     if not values:
         return target.where(F.lit(False))
     cond = F.lit(False)
@@ -118,17 +123,21 @@ def staged_upsert(
     update_cols: Sequence[str],
     parts: Sequence[str] = ("year", "region"),
     order: Sequence[Column] = (),
+    touched: Sequence[Row] | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """The touched partitions of a table as they will be, with actions, written to the shared folder.
 
     The partition columns must follow from the key (year from the date, region
     from the station): a key then lies in one partition. Nothing is published yet.
+    `touched` names the partitions if they are known; `null_keys` is that of merge_flagged.
     """
     if order:
         incoming = first_per_key(incoming, keys, order)
-    old = touched_partitions(spark.table(table), incoming, parts)
+    old = spark.table(table)
+    old = touched_partitions(old, incoming, parts) if touched is None else in_partitions(old, touched, parts)
     stage = work_path(spark, "stage")
-    merge_flagged(old, incoming, keys, update_cols).write.parquet(stage)
+    merge_flagged(old, incoming, keys, update_cols, null_keys).write.parquet(stage)
     return spark.read.parquet(stage)
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from isobar import schemas
@@ -71,7 +71,8 @@ def sync_stations(obs: DataFrame, target: DataFrame, regions: DataFrame) -> Stat
 
     A region text that matches neither name nor code becomes a new region.
     """
-    found = stations_distinct(obs).withColumnRenamed("region", "region_text")
+    # A row per station, read several times below.
+    found = _staged(stations_distinct(obs).withColumnRenamed("region", "region_text"), "found")
     # Coastal if ever a sea reading, under whichever attributes.
     coastal = found.groupBy("station_id").agg(F.max("is_coastal").alias("is_coastal"))
     found = first_per_key(found.drop("is_coastal"), ["station_id"], [F.col("station_name"), F.col("region_text")])
@@ -153,7 +154,7 @@ def sync_observations(
     known, skipped = known_observations(rows, stations)
     known = first_per_key(known, OBSERVATION_KEY, order)
     return ObservationSync(
-        merge_flagged(target, known, OBSERVATION_KEY, schemas.MEASURES), skipped
+        merge_flagged(target, known, OBSERVATION_KEY, schemas.MEASURES, null_keys=False), skipped
     )
 
 
@@ -277,14 +278,18 @@ def _publish(spark, names, regions, source, order, rejects, parts, partial) -> t
         stations = stations.withColumn("is_coastal", F.col("is_coastal") | F.coalesce("_was", F.lit(False))).drop("_was")
     stations = _staged(stations, "stations")
 
-    known, skipped = known_observations(source, stations)
+    arrived = _arrived(source, stations, parts)
+    touched = [row for row in arrived if row["_taken"]]
+    lost = sum(row["_lost"] for row in arrived)
+    last = max((row["_newest"] for row in arrived if row["_newest"] is not None), default=None)
+    refused = rejects.agg(F.count("*")).first()[0] if rejects is not None else 0
+    known, _ = known_observations(source, stations)
     target = spark.table(names.observations)
     # The order may name columns that the table does not have.
     known = first_per_key(known, OBSERVATION_KEY, order).select(*target.columns)
-    ready = staged_upsert(spark, names.observations, known, OBSERVATION_KEY, schemas.MEASURES, parts)
-    lost = skipped.agg(F.count("*")).first()[0]
-    refused = rejects.agg(F.count("*")).first()[0] if rejects is not None else 0
-    last = source.agg(F.max("observation_date")).first()[0]
+    ready = staged_upsert(
+        spark, names.observations, known, OBSERVATION_KEY, schemas.MEASURES, parts, touched=touched, null_keys=False
+    )
 
     tables.load_table(merged.drop("action"), names.regions)
     tables.load_table(stations.drop("action"), names.stations)
@@ -297,6 +302,19 @@ def _publish(spark, names, regions, source, order, rejects, parts, partial) -> t
     return _staged(counts, "counts"), last
 
 
+def _arrived(source: DataFrame, stations: DataFrame, parts: Sequence[str]) -> list[Row]:
+    """Per partition that rows arrive for: rows `_taken` and `_lost` (as known_observations has it), and the `_newest` day.
+
+    One pass. The partitions follow from the key, so that rows need not be cut to one a key.
+    """
+    there = stations.select("station_id").distinct().withColumn("_known", F.lit(True))
+    day = F.col("observation_date")
+    taken = F.col("_known").isNotNull() & day.isNotNull()
+    rows = source.select("station_id", "observation_date", *[p for p in parts if p not in OBSERVATION_KEY])
+    rows = rows.join(there, "station_id", "left").groupBy(*parts)
+    return rows.agg(F.count_if(taken).alias("_taken"), F.count_if(~taken).alias("_lost"), F.max(day).alias("_newest")).collect()
+
+
 def sync_since(
     spark: SparkSession,
     names: SyncTables,
