@@ -210,7 +210,9 @@ def _reloaded(t):
     rows = etl.transform(t.raw_obs, t.stations, t.baselines)
     name = work_table("isobar_outputs")
     names = summaries.Outputs(name, summaries.Summary(f"{name}_summary"), f"{name}_rolling", f"{name}_change")
-    table = etl.load(rows, name, work_path(t.spark, "published"), tables.buckets_for(t.fact.count(), 35), keep=TIE)
+    # Windows by station read a bucket of all partitions in one task.
+    buckets = tables.buckets_for(t.fact.count())
+    table = etl.load(rows, name, work_path(t.spark, "published"), buckets, keep=TIE)
     summaries.publish_outputs(t.spark, names)
     again = table.where(F.col("year") == RELOAD).withColumns(
         {"temp_mean": F.col("temp_mean") + 100, "precipitation": F.col("precipitation") * 2}
