@@ -31,6 +31,8 @@ def buckets_for(rows: int, groups: int = 1, rows_per_bucket: int = 2_000_000) ->
     """Number of buckets, a power of two, so that a bucket is a fair task.
 
     A fixed number makes tiny files of a small table and huge tasks of a large one.
+    `groups` are partitions that are read apart. Joins, groups and windows by the bucket
+    key read a bucket of all partitions in one task: for them the whole table is one group.
     Spark takes MAX_BUCKETS at most; a table that needs more is refused, since its
     buckets would be no fair tasks: partition it further or leave it unbucketed.
     """
@@ -303,13 +305,15 @@ def storage_contents(spark: SparkSession, folder: str, schema: StructType) -> Da
 def storage_report(df: DataFrame, folder: str) -> DataFrame:
     """Write the frame as text, gzip text, ORC and Parquet; bytes and share of text."""
     spark = df.sparkSession
+    # The frame is worked out once, for Parquet, which the other formats are made from.
+    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{folder}/parquet")
+    df = spark.read.schema(df.schema).parquet(f"{folder}/parquet")
+    df.write.mode("overwrite").option("compression", "snappy").orc(f"{folder}/orc")
     text = df.select(*[F.col(c).cast("string") for c in df.columns])
     text.write.mode("overwrite").option("header", True).csv(f"{folder}/text")
     text.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(
         f"{folder}/text_gzip"
     )
-    df.write.mode("overwrite").option("compression", "snappy").orc(f"{folder}/orc")
-    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{folder}/parquet")
 
     # One metadata row per file, read without parsing the contents.
     files = (

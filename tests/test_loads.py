@@ -351,6 +351,57 @@ def test_storage_report(spark):
     assert all(got[f].bytes < got["text"].bytes for f in ("text_gzip", "orc", "parquet"))
 
 
+def test_storage_report_works_the_frame_out_once(spark):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            worked_out.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).mapInArrow(run, "id long")
+    assert tables.storage_report(df, work_path(spark, "storage")).count() == 4
+    assert worked_out.value == 100
+
+
+def test_buckets_of_windows_by_station_follow_the_whole_table(monkeypatch):
+    from isobar.plans.adapter import Inputs
+    from isobar.plans.catalog import loads
+
+    class Seen(Exception):
+        pass
+
+    def buckets_for(*args):
+        raise Seen(*args)
+
+    class Few(Inputs):
+        fact = type("Fact", (), {"count": lambda self: 10**9})()
+        raw_obs = stations = baselines = None
+
+    monkeypatch.setattr(loads.tables, "buckets_for", buckets_for)
+    monkeypatch.setattr(loads.etl, "transform", lambda *a: None)
+    with pytest.raises(Seen) as seen:
+        loads._reloaded(Few(None, "/nowhere"))
+    assert seen.value.args == (10**9,)
+
+
+def test_merge_without_null_keys(spark, target):
+    incoming = spark.createDataFrame([("a", D(2020, 1, 1), 2020, "E", None, 11.0), ("c", D(2020, 1, 1), 2020, "S", 4.0, 40.0)], SMALL)
+    target = target.union(spark.createDataFrame([(None, None, 2020, "E", 9.0, 9.0)], SMALL))
+    both = [upsert.merge_flagged(target, incoming, KEY, ["temp_mean", "humidity"], null_keys=k) for k in (True, False)]
+    assert rows(both[0]) == rows(both[1])
+
+
+def test_arrived_counts_in_one_pass(spark):
+    stations = spark.createDataFrame([("a",), ("a",), (None,)], "station_id string")
+    source = spark.createDataFrame(
+        [("a", D(2020, 1, 1), 2020), ("a", D(2020, 1, 1), 2020), ("x", D(2020, 2, 1), 2020), ("a", None, None), (None, D(2021, 1, 1), 2021)],
+        "station_id string, observation_date date, year int",
+    )
+    got = sorted(sync._arrived(source, stations, ["year"]), key=repr)
+    assert [tuple(r) for r in got] == [(2020, 2, 1, D(2020, 2, 1)), (2021, 0, 1, D(2021, 1, 1)), (None, 0, 1, None)]
+
+
 def test_table_stats(spark, target):
     name = work_table("stats")
     tables.load_table(target, name)
