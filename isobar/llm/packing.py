@@ -202,7 +202,7 @@ def encoded(
         enc = byte_encoder(tokenizer_path)
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
-            ids = [enc.ids(t.as_py()) + end for t in b.column(1)]
+            ids = [x + end for x in enc.column(b.column(1))]
             yield {
                 "doc_id": b.column(0).to_pylist(), "tokens": [len(x) // len(end) for x in ids],
                 "width": [len(end)] * len(ids), "ids": ids,

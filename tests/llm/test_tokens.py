@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 import sentencepiece
@@ -42,6 +43,47 @@ def test_special_strings_are_text():
         assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == LIBRARY[path](text)
 
 
+WORD = st.text(alphabet=st.sampled_from("aBéßs9.,'’$#日…İ"), min_size=1, max_size=6)
+EVEN = st.lists(WORD, min_size=1, max_size=8).flatmap(
+    lambda words: st.lists(st.sampled_from(" \n"), min_size=len(words), max_size=len(words)).map(
+        lambda gaps: "".join(g + w for g, w in zip(gaps, words))[1:]
+    )
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | TEXT | EVEN, max_size=6), st.sampled_from([1, 30, 1 << 24]), st.sampled_from([1, 3, 1 << 19]))
+def test_columns_agree_with_the_library(texts, size, gather):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(tokens, "SLICE", size)
+        m.setattr(tokens, "GATHER", gather)
+        for encoder, path in ((tokens.word_encoder(WORDS), WORDS), (tokens.byte_encoder(BYTES), BYTES)):
+            got = encoder.column(pa.array(texts, pa.string()))
+            assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [LIBRARY[path](t or "") for t in texts]
+
+
+@pytest.mark.parametrize("path, chunks, lower", [(BYTES, tokens.byte_chunks, False), (WORDS, tokens.word_chunks, True)])
+def test_a_column_asks_once_for_a_word(path, chunks, lower):
+    encoder, asked = tokens.Encoder(path, chunks, lower), []
+    for cache in (encoder.cache, encoder.spaced):
+        cache.get = lambda words, get=cache.get: asked.extend(words) or get(words)
+    encoder.column(pa.array(["one cat, one dog. A cat... a dog!"] * 500))
+    assert len(asked) < 20
+
+
+def test_operators_encode_by_columns(odd, monkeypatch):
+    """Neither token files nor packing go through a text at a time."""
+    for module, name in ((packing, "byte_encoder"), (repair, "word_encoder")):
+        monkeypatch.setattr(module, name, lambda path, get=getattr(tokens, name): _Columns(get(path)))
+    assert packing.encoded(odd, BYTES, 0, 1024).count() == odd.count()
+    assert repair.read_documents(repair.write_shards(odd, WORDS, 2)).count() == odd.count()
+
+
+class _Columns:
+    def __init__(self, encoder):
+        self.dtype, self.column = encoder.dtype, encoder.column
+
+
 def test_cache_forgets():
     cache = tokens.WordCache(lambda words: [w.upper() for w in words], limit=4)
     for batch in (["a", "b", "a"], ["c", "d", "a"], ["e", "f"], ["a", "e"]):
