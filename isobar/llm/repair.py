@@ -176,8 +176,8 @@ def write_shards(
             }
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.ids(text.as_py()) + end
+            for name, ids in zip(batch.column(0).to_pylist(), enc.column(batch.column(1))):
+                ids += end
                 names.append(name)
                 lengths.append(len(ids) // size)
                 parts.append(ids)
