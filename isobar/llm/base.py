@@ -16,13 +16,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+# Rows for which a task and a file of a staged frame pay.
+FILE_ROWS = 100_000
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write a frame to the folder the cluster shares and read it back.
 
     Cuts lineage in a way that survives lost executors; unlike a checkpoint the
     files are compressed and can be read column by column.
+
+    rows, where known, bounds what the frame's last step reads. It then runs in a task for
+    each FILE_ROWS of them, one per core at least, if shuffle partitions are more: on a
+    local file system every file starts processes that set its mode, each of which counts
+    as a copy of the executor until it has begun.
     """
     path = work_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -214,13 +214,13 @@ def _shared_counts(first: DataFrame) -> DataFrame:
     return both.groupBy("short").agg(F.sum("shared").alias("shared"))
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int, rows: int) -> DataFrame:
     """(node, n, matches, shared, prefix, df): the prefix of every node by rising document frequency.
 
-    `shared` counts the node's tokens that any other has; no overlap exceeds it.
+    `shared` counts the node's tokens that any other has; no overlap exceeds it. rows: tokens of all sets.
     """
     tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
-    often = stage(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
+    often = stage(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies", rows)
     ordered = (
         tokens.join(often, "token")
         .groupBy("node", "n")
@@ -291,13 +291,14 @@ def _chained(prefixes: DataFrame, turn: int, percent: int) -> DataFrame:
     return found.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
 
 
-def _across(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(prefixes: DataFrame, sets: DataFrame, percent: int, entries: int) -> DataFrame:
     """Links between nodes of different components; for each two components one will do.
 
     Lists that lie in several components are brought together under their hub, so that
     a node comes once with all the lists of a group. A group is cut into blocks of
     CELL_TOKENS tokens, and each two blocks make a cell. Within a cell candidates share
     as many prefix tokens as both nodes ask for; they are verified on the whole sets.
+    entries: rows of all lists.
     """
     lists = _lists(prefixes)
     mixed = lists.groupBy("token").agg(
@@ -305,8 +306,9 @@ def _across(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "n", "node"))["node"].alias("hub"),
     )
     members = stage(
-        lists.join(mixed.where("lo < hi").select("token", "hub"), "token").select("hub", "node", "n").distinct(), "members"
-    )
+        lists.join(mixed.where("lo < hi").select("token", "hub"), "token").select("hub", "node", "n").distinct(),
+        "members", entries,
+    )
     blocks = members.groupBy("hub").agg(F.ceil(F.sum("n") / CELL_TOKENS).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     cells = (
@@ -432,9 +434,14 @@ def _groups(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
     asked = F.greatest(F.lit(1), F.ceil(least_n / 10))
     short = classes.withColumn("short", F.col("node").bitwiseAND(F.lit(SHORT)))
     open_ = short.join(_shared_counts(first), "short").where(F.col("shared") >= asked)
-    open_ = stage(open_.select("node", F.col("rep").alias("doc_id"), "ref"), "open")
+    # Counts come by tasks, one for each prefix token at most.
+    known = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    asked_rows = 3 * known[0] + known[1] * (110 - percent) // 100
+    open_ = stage(open_.select("node", F.col("rep").alias("doc_id"), "ref"), "open", asked_rows)
     sets = stage(_whole_sets(texts, open_, n), "sets")
-    prefixes = stage(_prefixes(sets, percent), "adaptive")
+    nodes, tokens = sets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    prefixes = stage(_prefixes(sets, percent, tokens), "adaptive", tokens)
+    entries = prefixes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
 
     links, labels = None, None
     for turn in range(CHAINS + 1):
@@ -442,11 +449,15 @@ def _groups(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
         if labels is not None:
             at = prefixes.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
         if turn < CHAINS:
-            found = stage(_verified(stage(_chained(at, turn, percent), "pairs"), sets, percent), "found")
+            pairs = stage(_chained(at, turn, percent), "pairs", entries)
+            # By tokens: the sets that are read, and those of the pairs.
+            compared = tokens + 2 * pairs.count() * tokens // max(1, nodes)
+            found = stage(_verified(pairs, sets, percent), "found", compared)
         else:
-            found = stage(_across(at, sets, percent), "found")
+            found = stage(_across(at, sets, percent, entries), "found")
         links = found if links is None else links.union(found)
-        labels = stage(components(links), "labels")
+        many = links.count()
+        labels = stage(components(links, rows=many), "labels", 2 * many)
 
     linked = labels.join(classes, "node").select("node", "label", "rep")
     names = linked.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -467,7 +478,7 @@ def _whole_sets(texts: DataFrame, open_: DataFrame, n: int) -> DataFrame:
     """
     named = texts.select("doc_id", "text").join(broadcast_if_small(open_.select("node", "doc_id")), "doc_id")
     wanted = named.select("text", "node")
-    nameless = stage(open_.where("doc_id is null").select("node", "ref"), "nameless")
+    nameless = stage(open_.where("doc_id is null").select("node", "ref"), "nameless", open_.count())
     if not nameless.isEmpty():
         found = texts.where("doc_id is null").join(broadcast_if_small(nameless), "ref")
         wanted = wanted.union(found.select("text", "node").distinct())

@@ -3,13 +3,15 @@
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.llm import ann, jaccard, ring
+from isobar.llm import ann, base, jaccard, ring
 from isobar.llm.components import components
+from isobar.session import shared_dir
 
 
 def grams(text, n=5):
@@ -114,6 +116,39 @@ def test_lists_in_slices_and_groups_in_cells(spark, monkeypatch):
     assert groups_of(df) == brute_groups(rows)
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Forty shuffle partitions that stay forty; gives what was staged since: [(name, files)]."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "isobar"
+    old = set(folder.glob("*"))
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield lambda: [(d.name[:-33], len(list(d.glob("part-*")))) for d in folder.glob("*") if d not in old]
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_small_steps_go_into_few_files(spark, many_partitions):
+    """A file a shuffle partition starts thousands of processes, each for a moment a copy of its executor."""
+    rows = near_copies(7, 200)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert groups_of(df) == brute_groups(rows)
+    files = many_partitions()
+    assert {"open", "frequencies", "adaptive", "pairs", "links", "stars", "labels", "members"} <= {k for k, _ in files}
+    cores = spark.sparkContext.defaultParallelism
+    assert [(k, n) for k, n in files if k not in ("prefixes", "sets") and n > cores] == []
+
+
+def test_files_grow_with_rows(spark, many_partitions, monkeypatch):
+    monkeypatch.setattr(base, "FILE_ROWS", 50)
+    df = spark.range(1_000).repartition(40, "id")
+    for rows, files in ((None, 40), (1_000, 20), (0, spark.sparkContext.defaultParallelism), (10**6, 40)):
+        assert base.stage(df, f"rows-{rows}", rows).count() == 1_000
+        assert dict(many_partitions())[f"rows-{rows}"] == files
+
+
 def test_prefix_lemma():
     rng = random.Random(0)
     for _ in range(2_000):
