@@ -14,9 +14,9 @@ values ranked by the number of terms above them; only cells that reach into the
 here, count there): those with a count of 0 follow from the cells of each source alone,
 so only terms that both have are ever met together.
 
-Occurrences are counted per task in bounded tables before they are shuffled, first by
-(lang, source, term), then by (lang, term): a row then holds the sources of one term. All
-arithmetic is on longs and 38-digit decimals.
+Occurrences are counted over some MB of texts at once, shuffled in blocks by the bucket of
+their term's hash, and summed up bucket by bucket: a row then holds the sources of one
+term of a language. All arithmetic is on longs and 38-digit decimals.
 
 Defined results: null texts, langs and sources count as ''; a group without terms takes
 part with counts of 0; a language without kept terms has pairs of value 0 and no terms;
@@ -27,10 +27,13 @@ result. Columns besides the three named are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,10 +41,15 @@ from pyspark.sql.window import Window
 from isobar.llm.base import arrow_map, stage
 
 SCALE = 1_000_000_000
-#: Entries a task holds before it hands them on.
-ENTRIES = 500_000
+#: Terms that a task counts before it hands them on: as many as lie in twice as many bytes, since every
+#: term has a separator behind it. Texts longer than a slice are counted alone.
+ENTRIES = 1 << 23
 SLICE_BYTES = 1 << 20
-COUNTS = "lang string, source string, term string, n long, docs long"
+BLOCKS = (
+    "bucket int, langs array<string>, sources array<string>, terms binary, "
+    "term binary, source binary, n binary, docs binary"
+)
+KEPT = "lang string, term string, lang_n long, held array<struct<source:string,n:long>>"
 
 # A-Z become a-z, other bytes of terms stay, all else separates.
 _FOLD = bytes(
@@ -59,67 +67,174 @@ def _slices(text: bytes) -> Iterator[list[bytes]]:
         at = to
 
 
+def _folded(texts: pa.Array) -> pa.Array:
+    """The texts with terms lower-cased and spaces for all else; every byte keeps its place."""
+    offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data[offsets[0] : offsets[-1]].to_pybytes().translate(_FOLD) if data else b""
+    buffers = [None, pa.py_buffer((offsets - offsets[0]).tobytes()), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), buffers)
+
+
+def _entries(groups: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """(group, term, n, docs) of folded texts, where groups[i] is the group of text i; a row for each group of a term."""
+    # Documents are numbered by group, so that those of a group stand together under each term.
+    by_group = np.argsort(groups, kind="stable")
+    number = np.empty(len(groups), np.int64)
+    number[by_group] = np.arange(len(groups))
+    cut = pc.split_pattern(texts, " ")
+    words = cut.flatten().dictionary_encode()
+    index, terms = words.indices.to_numpy().astype(np.int64), words.dictionary
+    key = index * len(groups) + np.repeat(number, np.diff(cut.offsets.to_numpy()))
+    nothing = pc.index(terms, pa.scalar("", terms.type)).as_py()
+    if nothing >= 0:
+        key = key[index != nothing]
+    key.sort()
+    met = np.flatnonzero(np.diff(key, prepend=-1))  # a document and a term
+    term, doc = np.divmod(key[met], len(groups))
+    group = groups[by_group][doc]
+    first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
+    n = np.diff(np.append(met[first], len(key)))
+    docs = np.diff(np.append(first, len(met)))
+    return group[first], pa.DictionaryArray.from_arrays(pa.array(term[first].astype(np.int32)), terms), n, docs
+
+
+def _long(group: int, text: bytes) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """What `_entries` gives for one folded text, slice by slice."""
+    counts = Counter()
+    for terms in _slices(text):
+        counts.update(terms)
+    counts.pop(b"", None)
+    terms = pa.array(list(counts), pa.binary()).cast(pa.large_string())
+    ones = np.ones(len(terms), np.int64)
+    codes = pa.array(np.arange(len(terms), dtype=np.int32))
+    return group * ones, pa.DictionaryArray.from_arrays(codes, terms), np.fromiter(counts.values(), np.int64), ones
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Occurrences and documents of every term, summed up within the task as far as memory allows."""
-    seen: dict[tuple, Counter] = defaultdict(Counter)
-    docs: dict[tuple, Counter] = defaultdict(Counter)
-
-    def rows():
-        for (lang, source), counts in seen.items():
-            terms = list(counts)
-            yield {
-                "lang": [lang] * len(terms),
-                "source": [source] * len(terms),
-                "term": pa.array(terms, pa.binary()).cast(pa.string()),
-                "n": list(counts.values()),
-                "docs": [docs[lang, source][t] for t in terms],
-            }
-        seen.clear()
-        docs.clear()
-
-    held = 0
+    """Occurrences and documents of every term in a group, summed up over some MB of texts."""
     for b in batches:
-        for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            here, group = set(), seen[lang, source]
-            before = len(group)
-            for terms in _slices(text.as_py().encode().translate(_FOLD)):
-                group.update(terms)
-                here.update(terms)
-            group.pop(b"", None)
-            here.discard(b"")
-            docs[lang, source].update(here)
-            held += max(0, len(group) - before)
-            if held >= ENTRIES:
-                yield from rows()
-                held = 0
-    yield from rows()
+        names: dict[tuple[str, str], int] = {}
+        pairs = zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+        groups = np.fromiter((names.setdefault(p, len(names)) for p in pairs), np.int64, len(b))
+        langs, sources = (np.array([p[i] for p in names], object) for i in (0, 1))
+        texts = b.column(2).cast(pa.large_string())
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(b):
+            if sizes[at] > SLICE_BYTES:
+                to = at + 1
+                found = _long(int(groups[at]), texts[at].as_py().encode().translate(_FOLD))
+            else:
+                to = int(np.searchsorted(ends, ends[at] - sizes[at] + 2 * ENTRIES, "right"))
+                long = np.flatnonzero(sizes[at:to] > SLICE_BYTES)
+                to = max(at + 1, at + int(long[0]) if len(long) else to)
+                found = _entries(groups[at:to], _folded(texts[at:to]))
+            at = to
+            group, term, n, docs = found
+            if len(n):
+                yield {"lang": langs[group], "source": sources[group], "group": group, "term": term, "n": n, "docs": docs}
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[dict]:
+    """The counts of `_count`, a row for each bucket of terms."""
+    for out in _count(batches):
+        terms, code = out["term"].dictionary, out["term"].indices.to_numpy()
+        raw = terms.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(terms), np.int64)
+        place[order] = np.arange(len(terms))
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        raw = raw[order]
+        place = place[code]
+        entries = np.argsort(place, kind="stable")
+        place = place[entries]
+        group, n, docs = (out[k][entries] for k in ("group", "n", "docs"))
+        lang, source = out["lang"][entries], out["source"][entries]
+        cuts = np.searchsorted(place, edges).tolist()
+        rows = {c: [] for c in ("bucket", "langs", "sources", "terms", "term", "source", "n", "docs")}
+        for i in range(buckets):
+            lo, hi = cuts[i], cuts[i + 1]
+            if lo == hi:
+                continue
+            _, first, number = np.unique(group[lo:hi], return_index=True, return_inverse=True)
+            rows["bucket"].append(i)
+            rows["langs"].append(lang[lo:hi][first].tolist())
+            rows["sources"].append(source[lo:hi][first].tolist())
+            rows["terms"].append(b" ".join(raw[edges[i] : edges[i + 1]].tolist()))
+            for c, v in (("term", place[lo:hi] - edges[i]), ("source", number), ("n", n[lo:hi]), ("docs", docs[lo:hi])):
+                rows[c].append(v.astype("<u4").tobytes())
+        yield rows
 
 
 def term_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """(lang, source, term, n, docs): occurrences of every term and documents that hold it."""
+    """Blocks of (lang, source, term, n, docs): occurrences of every term and documents that hold it.
+
+    A row has entries of one bucket of terms: `terms` are its distinct terms with spaces between; in the
+    others, numbers of 32 bits, entry k is about term[k] of these, in langs[source[k]] and sources[source[k]].
+    """
     named = docs.select(
         *[
             F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
             for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))
         ]
     )
-    return arrow_map(named, _count, COUNTS).groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs")
-    )
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return arrow_map(named, lambda batches: _blocks(batches, buckets), BLOCKS)
+
+
+def _merged(blocks: pa.Table, min_docs: int, schema: pa.Schema) -> pa.Table:
+    """Terms of one bucket as rows of `kept_terms`."""
+    langs: dict[str, int] = {}
+    groups: dict[tuple[str, str], int] = {}
+    lang_of, group_of, terms, counts, before = [], [], [], [], 0
+    for row in blocks.to_batches():
+        names = [list(zip(a, b)) for a, b in zip(row["langs"].to_pylist(), row["sources"].to_pylist())]
+        for pairs, *numbers in zip(names, *(row[c].to_pylist() for c in ("terms", "term", "source", "n", "docs"))):
+            there = numbers[0].split(b" ")
+            term, source, n, docs = (np.frombuffer(x, "<u4").astype(np.int64) for x in numbers[1:])
+            group_of.append(np.array([groups.setdefault(p, len(groups)) for p in pairs], np.int64)[source])
+            lang_of.append(np.array([langs.setdefault(p[0], len(langs)) for p in pairs], np.int64)[source])
+            terms += there
+            counts.append((term + before, n, docs))
+            before += len(there)
+    words = pa.array(terms, pa.binary()).dictionary_encode()
+    term, n, docs = (np.concatenate(x) for x in zip(*counts))
+    key = words.indices.to_numpy().astype(np.int64)[term] * len(langs) + np.concatenate(lang_of)
+    key = key * len(groups) + np.concatenate(group_of)
+    order = np.argsort(key)
+    key = key[order]
+    # Entries of a source, then those of a language.
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    n, docs = (np.add.reduceat(x[order], first) for x in (n, docs))
+    whole, group = np.divmod(key[first], len(groups))
+    start = np.flatnonzero(np.diff(whole, prepend=-1))
+    keep = np.add.reduceat(docs, start) >= min_docs
+    sources = np.diff(np.append(start, len(whole)))
+    term, lang = np.divmod(whole[start][keep], len(langs))
+    inside = np.repeat(keep, sources)
+    names = pa.array([source for _, source in groups], pa.string()).take(pa.array(group[inside]))
+    held_type = schema.field("held").type
+    held = pa.StructArray.from_arrays([names, pa.array(n[inside])], fields=list(held_type.value_type))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sources[keep])]).astype(np.int32))
+    columns = [
+        pa.array(list(langs), pa.string()).take(pa.array(lang)),
+        words.dictionary.take(pa.array(term)).cast(pa.string()),
+        pa.array(np.add.reduceat(n, start)[keep]),
+        pa.ListArray.from_arrays(offsets, held, type=held_type),
+    ]
+    return pa.Table.from_arrays(columns, schema=schema)
 
 
 def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
     """(lang, term, lang_n, held): terms of enough documents; `held` lists (source, n), one entry a source."""
-    return (
-        counts.groupBy("lang", "term")
-        .agg(
-            F.sum("docs").alias("docs"),
-            F.sum("n").alias("lang_n"),
-            F.collect_list(F.struct("source", "n")).alias("held"),
-        )
-        .where(F.col("docs") >= min_docs)
-        .select("lang", "term", "lang_n", "held")
-    )
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    target = to_arrow_schema(_parse_datatype_string(KEPT))
+    return counts.groupBy("bucket").applyInArrow(lambda blocks: _merged(blocks, min_docs, target), KEPT)
 
 
 def _share(count: str | Column, total: str, terms: str) -> Column:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from isobar.llm import divergence
 
 TERM = re.compile("[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+LETTERS = str.maketrans("0123456789", "abcdefghij")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -111,3 +112,40 @@ def test_tables_of_a_task_are_bounded(monkeypatch):
     assert parts > 2
     assert seen == {("a", "one"): 1, ("a", "two"): 2, ("a", "three"): 1, ("b", "one"): 18, ("b", "éé"): 9, ("b", "x" * 50): 1}
     assert docs == dict.fromkeys(seen, 1)
+
+
+def test_counts_travel_in_blocks(spark):
+    """A task hands on a row for a bucket of terms, not for every term of every source."""
+    rows = [(" ".join(f"w{k:03}".translate(LETTERS) for k in range(i, i + 400)), "en", f"s{i % 5}") for i in range(20)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    blocks = divergence.term_counts(df).collect()
+    assert len(blocks) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbers = [{c: np.frombuffer(b[c], "<u4") for c in ("n", "docs", "term")} for b in blocks]
+    assert sum(int(x["n"].sum()) for x in numbers) == sum(int(x["docs"].sum()) for x in numbers) == 20 * 400
+    assert sum(len(bytes(b.terms).split(b" ")) for b in blocks) == 419
+    assert audited(df) == by_terms(rows)
+
+
+def test_texts_longer_than_a_slice(monkeypatch):
+    """Slices, long texts and the texts between them give what one table of all texts gives."""
+    texts = ["a b", "long " * 9, "", "c a", None, "b " * 20 + "é", "a", "c"]
+    rows = [(t, "en", f"s{i % 2}") for i, t in enumerate(texts)]
+    batch = pa.record_batch(
+        [pa.array(["en"] * len(rows)), pa.array([r[2] for r in rows]), pa.array([r[0] or "" for r in rows])],
+        names=["lang", "source", "text"],
+    )
+
+    def entries():
+        n, docs = Counter(), Counter()
+        for out in divergence._count([batch]):
+            for s, t, a, b in zip(out["source"], out["term"].to_pylist(), out["n"], out["docs"]):
+                n[s, t] += int(a)
+                docs[s, t] += int(b)
+        return n, docs
+
+    whole = entries()
+    for size in (1, 4, 30):
+        monkeypatch.setattr(divergence, "SLICE_BYTES", size)
+        monkeypatch.setattr(divergence, "ENTRIES", 2)
+        assert entries() == whole
+    assert whole[0]["s1", "b"] == 20 and whole[1]["s1", "b"] == 1
