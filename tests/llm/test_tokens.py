@@ -231,6 +231,34 @@ def test_counts_against_brute_force(text):
     assert shared.tokens_of(text)[0] == want
 
 
+def test_words_are_counted_by_levels(monkeypatch):
+    """No word of ordinary length is inserted by itself."""
+    def refuse(self, word):
+        raise AssertionError(word)
+
+    monkeypatch.setattr(token_counts.ScoreTrie, "count", refuse)
+    shared = token_counts.ScoreTrie(token_counts.read_pieces(PIECES))
+    texts = [" ".join(f"th{a}ing{b}er" for b in range(40)) for a in range(40)]
+    want = [sum(best_split(w, shared.pieces, shared.unknown) for w in token_counts.pre_tokens(t)) for t in texts[:3]]
+    assert [shared.tokens_of(t)[0] for t in texts][:3] == want
+
+
+COUNTED = st.lists(st.none() | st.text(alphabet="theing ▁\n😀é日", max_size=25), max_size=6)
+
+
+@settings(max_examples=200, deadline=None)
+@given(COUNTED, st.sampled_from([1, 20, 1 << 24]), st.sampled_from([0, 3, 64]), st.sampled_from([3, 400_000]))
+def test_counts_of_columns(texts, size, depth, nodes):
+    shared = token_counts.trie(PIECES)
+    with pytest.MonkeyPatch.context() as m:
+        for name, value in (("SLICE", size), ("DEPTH", depth), ("NODES", nodes)):
+            m.setattr(token_counts, name, value)
+        tokens, numbers = shared.column(pa.array(texts, pa.string()))
+    words = [token_counts.pre_tokens(t or "") for t in texts]
+    assert numbers.tolist() == [len(x) for x in words]
+    assert tokens.tolist() == [sum(best_split(w, shared.pieces, shared.unknown) for w in x) for x in words]
+
+
 def test_no_piece_crosses_pre_tokens():
     assert not [p for p in token_counts.read_pieces(PIECES) if "▁" in p.lstrip("▁")]
 
