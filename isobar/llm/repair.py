@@ -79,13 +79,17 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not len(often):
             break
         chosen = np.sort(pairs[often])
-        # A small table of hashes tells most places apart from the chosen pairs.
-        mark = np.zeros(1 << 20, bool)
-        mark[_slot(chosen)] = True
-        at = np.flatnonzero(mark[_slot(code)])
-        where = np.minimum(np.searchsorted(chosen, code[at]), len(chosen) - 1)
-        hit = chosen[where] == code[at]
-        at, where = at[hit], where[hit]
+        # A small table of hashes finds the chosen pair of most places; of pairs that share a slot it has one.
+        numbers = np.arange(len(chosen), dtype=np.int16)
+        slots = _slot(chosen)
+        table = np.full(1 << 20, -1, np.int16)
+        table[slots] = numbers
+        which = table[_slot(code)]
+        which[chosen[which] != code] = -1
+        for i in np.flatnonzero(table[slots] != numbers).tolist():
+            which[code == chosen[i]] = i
+        at = np.flatnonzero(which >= 0)
+        where = which[at].astype(np.int64)
         # In a run of adjacent places every second one is taken, from the left.
         starts = np.concatenate(([True], np.diff(at) != 1))
         run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))

@@ -76,20 +76,20 @@ class WordCache:
     def get(self, chunks: list[str]) -> list:
         found = list(map(self.known.get, chunks))
         if None in found:
-            at, places = -1, []
-            for _ in range(found.count(None)):
-                at = found.index(None, at + 1)
-                places.append(at)
-            fresh = dict.fromkeys([chunks[i] for i in places])
+            places = [i for i, v in enumerate(found) if v is None]
+            asked = [chunks[i] for i in places]
+            fresh = dict.fromkeys(asked)
             if self.older:
-                fresh = {c: self.older.get(c) for c in fresh}
-            missing = [c for c, v in fresh.items() if v is None]
+                fresh = dict(zip(fresh, map(self.older.get, fresh)))
+                missing = [c for c, v in fresh.items() if v is None]
+            else:
+                missing = list(fresh)
             fresh.update(zip(missing, self.make(missing)))
             if len(self.known) + len(fresh) > self.limit // 2:
                 self.known, self.older = {}, self.known
             self.known.update(fresh)
-            for i in places:
-                found[i] = fresh[chunks[i]]
+            for i, v in zip(places, map(fresh.__getitem__, asked)):
+                found[i] = v
         return found
 
 
@@ -122,7 +122,10 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word that is one pre-token."""
-        chars, _ = codecs.charmap_decode(word.encode(), "strict", _BYTE_CHARS)
+        # ASCII letters, digits and signs stand for themselves; only a space comes before them.
+        chars = word
+        if not word.isascii() or word[0] == " ":
+            chars, _ = codecs.charmap_decode(word.encode(), "strict", _BYTE_CHARS)
         pieces = self.pieces
         return b"".join([pieces[t.id] for t in self.tokenize(chars)])
 
@@ -183,7 +186,11 @@ class Encoder:
 
     def _slice(self, texts: pa.Array) -> list[bytes]:
         if self.lower:
-            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            texts = pc.replace_substring(texts, "\n", " ")
+            # A to Z come in lower case from here on, unless a mark might compose with the small letter alone.
+            # Arrow lowers no texts that lie behind others in their buffer; these are a new one.
+            marked = pc.match_substring_regex(texts, "[\u0300-\u036f]")
+            cut = pc.split_pattern(pc.if_else(marked, texts, pc.ascii_lower(texts)), " ")
         else:
             # As in `ids`: the first word is taken as the first of a line, here behind an empty word.
             line_end, nothing = pa.scalar("\n", texts.type), pa.scalar("", texts.type)

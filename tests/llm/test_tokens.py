@@ -71,6 +71,28 @@ def test_a_column_asks_once_for_a_word(path, chunks, lower):
     assert len(asked) < 20
 
 
+def test_a_column_asks_once_for_both_cases():
+    encoder, asked = tokens.Encoder(WORDS, tokens.word_chunks, True), []
+    encoder.cache.get = lambda words, get=encoder.cache.get: asked.extend(words) or get(words)
+    # Behind another text of the buffer; the marks compose with a small letter, but with no capital.
+    texts = pa.array(["before", "Cat CAT, cat. dOg\nDog!", "H\u0331 h\u0331 T\u0308, W\u030a I\u0307 \u0130", None])[1:]
+    got = encoder.column(texts)
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [LIBRARY[WORDS](t or "") for t in texts.to_pylist()]
+    assert {w for w in asked if w.isascii() and w.isalpha()} == {"cat", "dog"}
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 1 << 30), st.sampled_from([5, 300, 4000]))
+def test_pairs_that_share_a_slot(seed, letters):
+    """Pairs are found whatever slots they have."""
+    x = np.minimum(np.random.default_rng(seed).zipf(1.2, 4000), letters).astype("<u2")
+    want = repair.compress(x)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(repair, "_slot", lambda codes: np.zeros(len(codes), np.uint32))
+        got = repair.compress(x)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
 def test_operators_encode_by_columns(odd, monkeypatch):
     """Neither token files nor packing go through a text at a time."""
     for module, name in ((packing, "byte_encoder"), (repair, "word_encoder")):
